@@ -30,7 +30,7 @@ from voxsift.operators.summarize import summarize
 from voxsift.operators.tickets import (active_messages, attach_config, attach_tags,
                                        command_messages, latest_messages, priority,
                                        resolve_config, review_messages, severity, ticket_id)
-from voxsift.plans.triage import feedback, flat_tickets, triage
+from voxsift.plans.triage import feedback, flat_tickets, ticket_rows, triage
 from voxsift.session import materialize
 from voxsift.sources import tables
 
@@ -190,21 +190,11 @@ def category_rules(spark, d):
 
 
 def _ticket_rows(spark, d):
-    src = normalize_sources(_reviews(spark, d)).withColumn("command_id", F.col("app_id"))
-    c = attach_tags(categorize_by_rules(src), tables.tags(spark))
-    c = attach_config(c, tables.app_config(spark, d)).where(F.col("config_error").isNull())
-    sev = severity(F.col("category"))
-    return c.select(
-        "command_id", "review_id", "source", "created_at", "category",
-        ticket_id(F.col("command_id"), F.col("review_id")).alias("ticket_id"),
-        "title", "tag_id", F.concat(F.col("text"), F.lit("\n"), F.col("url")).alias("body"),
-        F.col("owner_id").alias("owned_by"), F.col("part_id").alias("applies_to_part"),
-        sev.alias("severity"), priority(sev).alias("priority"),
-        (sev != "blocker").alias("needs_issue"))
+    return ticket_rows(spark, d, tables.reviews(spark, d))
 
 
 def severity_tickets(spark, d):
-    return _ticket_rows(spark, d).drop("created_at")
+    return _ticket_rows(spark, d).drop("created_at", "text")
 
 
 def _active(spark, d):

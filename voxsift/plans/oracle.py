@@ -549,6 +549,13 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN len(regexp_extract_all(prompt, '{TOKEN_PATTERN}')) >= {LOCAL_MODEL_MIN_TOKENS}
           THEN {lit(yes)} ELSE {lit(no)} END AS reply FROM prs)""",
                             body=f"""SELECT review_id, reply, {keep('reply')} AS keep FROM mm""")
+    q["stream_triage"] = _q(ticket_rows_cte(), RELEVANCE, body=f"""SELECT t.command_id,
+        t.review_id, t.category, t.ticket_id, t.severity, t.priority, t.needs_issue
+        FROM trows2 t JOIN rel USING (review_id) JOIN reviews r USING (review_id)
+        WHERE rel.relevant AND {longer('r.text', 3)}""")
+    q["stream_leaders"] = q["dedup_exact"]
+    q["stream_events_once"] = """SELECT event_id, event_type,
+        strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events"""
     q.update(neardup_sql())
     return q
 

@@ -28,8 +28,12 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     Both sides are large at scale, so this stays an equi-join that Catalyst
     plans as sort-merge (or broadcast when AQE measures a small side).
     """
-    docs = table(spark, sf_dir, "documents")
-    ev = table(spark, sf_dir, "events")
+    return reviews_from(table(spark, sf_dir, "documents"), table(spark, sf_dir, "events"))
+
+
+def reviews_from(docs: DataFrame, ev: DataFrame) -> DataFrame:
+    """The F1 adapter over any documents/events frames (batch or a
+    micro-batch of a stream)."""
     j = docs.join(ev, docs.doc_id == ev.event_id, "inner")
     username = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     return j.select(
