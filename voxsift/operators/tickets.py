@@ -126,9 +126,10 @@ def ticket_id(command_id: Column, review_id: Column, kind: str = "ticket") -> Co
                               review_id.cast("string")), 256)
 
 
-def tickets(df: DataFrame) -> DataFrame:
+def tickets(df: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
     """PRJ-8 / SNK-1 records.  Needs ``command_id, review_id, url, title,
-    summary, category, tag_id, part_id, owner_id``."""
+    summary, category, tag_id, part_id, owner_id``; ``extra`` columns are
+    carried along."""
     sev = severity(F.col("category"))
     return df.select(
         "command_id", "review_id", "source",
@@ -141,7 +142,7 @@ def tickets(df: DataFrame) -> DataFrame:
         F.col("part_id").alias("applies_to_part"),
         sev.alias("severity"),
         (sev != "blocker").alias("needs_issue"),
-        "category",
+        "category", *extra,
     )
 
 
