@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from voxsift.functions.text import TOKEN_PATTERN
 
-NUM_FEATURES = 1 << 18
+NUM_FEATURES = 1 << 16
 
 
 def text_classifier(label_col: str = "label", num_features: int = NUM_FEATURES,
-                    max_iter: int = 30, reg: float = 0.01) -> Pipeline:
+                    max_iter: int = 20, reg: float = 0.01) -> Pipeline:
     return Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="_words", pattern=TOKEN_PATTERN, gaps=False,
                        toLowercase=True),

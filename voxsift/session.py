@@ -65,7 +65,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint
-    folder.  Used where a later filter would otherwise be pushed through a
-    chain of staged projections and inline every alias (parsed commands)."""
+    folder (it survives executor loss; a local checkpoint would not).
+
+    The frame is persisted for the duration of the write, so the checkpoint
+    job reads the cached blocks instead of computing the plan a second
+    time; the cache is released afterwards."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
