@@ -33,10 +33,21 @@ def text_classifier(label_col: str = "label", num_features: int = NUM_FEATURES,
     ])
 
 
+def _fit(pipeline_or_est, train: DataFrame):
+    """Fit with the training rows persisted for the duration of the fit (the
+    IDF pass and every optimizer pass read them; on executor loss the
+    blocks are recomputed from lineage)."""
+    train.persist()
+    try:
+        return pipeline_or_est.fit(train)
+    finally:
+        train.unpersist()
+
+
 def relevance_model(labeled: DataFrame):
     """Fit on ``(text, relevant)``."""
     train = labeled.select("text", F.col("relevant").cast("double").alias("label"))
-    return text_classifier().fit(train)
+    return _fit(text_classifier(), train)
 
 
 def predict_relevance(model, df: DataFrame) -> DataFrame:
@@ -48,8 +59,12 @@ def predict_relevance(model, df: DataFrame) -> DataFrame:
 def category_model(labeled: DataFrame):
     """Fit on ``(text, category)``; labels are indexed by frequency."""
     indexer = StringIndexer(inputCol="category", outputCol="label", stringOrderType="alphabetAsc")
-    idx = indexer.fit(labeled)
-    model = text_classifier().fit(idx.transform(labeled.select("text", "category")))
+    labeled = labeled.select("text", "category").persist()
+    try:
+        idx = indexer.fit(labeled)
+        model = text_classifier().fit(idx.transform(labeled))
+    finally:
+        labeled.unpersist()
     return idx, model
 
 
