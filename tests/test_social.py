@@ -14,18 +14,22 @@ def test_tags_ignore_email(spark):
 def _fetched(spark, sizes):
     rows = []
     for cid, (available, n) in enumerate(sizes):
-        rows += [(cid, i + 1, cid * 1000 + i, n) for i in range(available)]
-    return spark.createDataFrame(rows, "command_id long, rank int, review_id long, fetch_n long")
+        rows += [(cid, i + 1, cid * 1000 + i, n, f"app{cid}") for i in range(available)]
+    return spark.createDataFrame(
+        rows, "command_id long, rank int, review_id long, fetch_n long, term string")
 
 
 def test_page_log_and_stop_rule(spark):
     # command 0: 45 available, wants 45 (20+20+5); command 1: exactly 20, wants 30;
     # command 2: 60 offered, wants 30 -> read 20 + 10, never more than asked.
     f = _fetched(spark, [(45, 45), (20, 30), (60, 30)])
-    log = {(r.command_id, r.page_no): (r.rows_in_page, r.seen_before, r.page_limit)
-           for r in page_log(f.where(F.col("rank") <= F.col("fetch_n"))).collect()}
+    rows = page_log(f.where(F.col("rank") <= F.col("fetch_n"))).collect()
+    log = {(r.command_id, r.page_no): (r.rows_in_page, r.seen_before, r.page_limit) for r in rows}
     assert log[(0, 1)] == (20, 0, 20) and log[(0, 3)] == (5, 40, 5)
     assert log[(2, 2)] == (10, 20, 10)
+    urls = {(r.command_id, r.page_no): r.request_url for r in rows}
+    assert "continuation_token" not in urls[(0, 1)] and urls[(0, 1)].endswith("&limit=20")
+    assert "continuation_token=0:3" in urls[(0, 3)] and "query=%40app0" in urls[(0, 3)]
     pages = build_pages(f)
     wanted = f.select("command_id", "fetch_n").distinct()
     got = explode_pages(pages, wanted).groupBy("command_id").count().collect()

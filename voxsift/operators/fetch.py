@@ -18,6 +18,8 @@ from voxsift.functions.text import tags_of
 from voxsift.sources.tables import SOCIAL_START_DATE
 
 PAGE_SIZE = 20
+# Provenance only: the request a cursor read would make (neutral host).
+SEARCH_ENDPOINT = "https://social.example/search/search"
 # Source labels used in ticket texts.
 STORE_LABEL = "Playstore"
 SOCIAL_LABEL = "Twitter"
@@ -104,23 +106,33 @@ def search_posts(posts: DataFrame, commands: DataFrame, mode: str,
 
 
 def page_log(fetched: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """SRC-5 / WIN-3 / LIM-2 / AGG-3: the page requests a cursor read makes
-    for each command's ranked rows: page number, rows on the page, rows
-    seen before, the requested limit ``min(20, n - seen)`` and the running
-    count.  Exactly N rows are read (no overshoot)."""
+    """SRC-5 / WIN-3 / LIM-2 / AGG-3 / SCA-6 / SCA-15 / SCA-19: the page
+    requests a cursor read makes for each command's ranked rows: page
+    number, rows on the page, rows seen before, the requested limit
+    ``min(20, n - seen)``, the running count and the request URL (the
+    continuation token of the previous page from page 2 on).  Exactly N
+    rows are read (no overshoot).  A command's pages are bounded by its N."""
     pages = (fetched.withColumn("page_no", F.ceil(F.col("rank") / page_size).cast("bigint"))
              .groupBy("command_id", "page_no")
-             .agg(F.count("*").alias("rows_in_page"), F.max("fetch_n").alias("fetch_n")))
+             .agg(F.count("*").alias("rows_in_page"), F.max("fetch_n").alias("fetch_n"),
+                  F.max("term").alias("term")))
     w = Window.partitionBy("command_id").orderBy("page_no")
     seen_before = F.coalesce(
         F.sum("rows_in_page").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    limit = F.least(F.lit(page_size).cast("bigint"), F.col("fetch_n") - seen_before)
+    token = F.when(F.col("page_no") > 1, F.concat(
+        F.lit("&continuation_token="), F.col("command_id").cast("string"), F.lit(":"),
+        F.col("page_no").cast("string"))).otherwise(F.lit(""))
+    url = F.concat(F.lit(f"{SEARCH_ENDPOINT}?query=%40"), F.col("term"),
+                   F.lit(f"&section=top&language=en&start_date={SOCIAL_START_DATE}"), token,
+                   F.lit("&limit="), limit.cast("string"))
     return pages.select(
         "command_id", "page_no", "rows_in_page",
         seen_before.cast("bigint").alias("seen_before"),
-        F.least(F.lit(page_size).cast("bigint"), F.col("fetch_n") - seen_before)
-        .cast("bigint").alias("page_limit"),
+        limit.cast("bigint").alias("page_limit"),
         F.sum("rows_in_page").over(w.rowsBetween(Window.unboundedPreceding, 0))
         .cast("bigint").alias("seen_after"),
+        url.alias("request_url"),
     )
 
 

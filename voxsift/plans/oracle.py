@@ -279,7 +279,7 @@ ranked AS (SELECT term, review_id,
     row_number() OVER (PARTITION BY term ORDER BY votes DESC, review_id) AS rank FROM tagged),
 cmds AS (SELECT command_id, lower(term) AS term, fetch_n FROM parsed
          WHERE mode = '{mode}' AND fetch_n > 0),
-offered AS (SELECT c.command_id, c.fetch_n, r.review_id, r.rank FROM cmds c
+offered AS (SELECT c.command_id, c.fetch_n, c.term, r.review_id, r.rank FROM cmds c
             JOIN ranked r ON c.term = r.term
             WHERE r.rank <= (SELECT max(fetch_n) FROM cmds)),
 fetched AS (SELECT * FROM offered WHERE rank <= fetch_n)"""
@@ -387,7 +387,7 @@ def oracle_sql() -> dict[str, str]:
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     q["page_log"] = _q(REVIEWS, COMMAND_EVENTS, parsed_cte(), search_cte("search"), f"""pages AS (
         SELECT command_id, CAST(ceil(rank / 20) AS BIGINT) AS page_no, count(*) AS rows_in_page,
-               max(fetch_n) AS fetch_n FROM fetched GROUP BY 1, 2),
+               max(fetch_n) AS fetch_n, max(term) AS term FROM fetched GROUP BY 1, 2),
         pl AS (SELECT *, coalesce(sum(rows_in_page) OVER (PARTITION BY command_id ORDER BY page_no
                {before}), 0) AS seen_before,
                sum(rows_in_page) OVER (PARTITION BY command_id ORDER BY page_no
@@ -395,7 +395,13 @@ def oracle_sql() -> dict[str, str]:
                        body="""SELECT command_id, page_no, CAST(rows_in_page AS BIGINT) AS rows_in_page,
         CAST(seen_before AS BIGINT) AS seen_before,
         CAST(least(20, fetch_n - seen_before) AS BIGINT) AS page_limit,
-        CAST(seen_after AS BIGINT) AS seen_after FROM pl""")
+        CAST(seen_after AS BIGINT) AS seen_after,
+        'https://social.example/search/search?query=%40' || term
+          || '&section=top&language=en&start_date=2022-01-01'
+          || CASE WHEN page_no > 1 THEN '&continuation_token=' || CAST(command_id AS VARCHAR)
+               || ':' || CAST(page_no AS VARCHAR) ELSE '' END
+          || '&limit=' || CAST(least(20, fetch_n - seen_before) AS VARCHAR) AS request_url
+        FROM pl""")
     q["page_explode"] = _q(REVIEWS, COMMAND_EVENTS, parsed_cte(), search_cte("search"), f"""pages AS (
         SELECT command_id, CAST(ceil(rank / 20) AS BIGINT) AS page_no, count(*) AS sz
         FROM offered GROUP BY 1, 2),
