@@ -203,6 +203,39 @@ def review_messages(tix: DataFrame, iss: DataFrame, at: str = "created_at") -> D
         .alias("expires_at"))
 
 
+def ticket_messages(rows: DataFrame, at: str = "created_at") -> DataFrame:
+    """PRJ-11 / SNK-3 / SNK-5 in one pass over ticket rows (``ticket_id``,
+    ``category``, ``needs_issue``): the two ticket messages, plus the two
+    issue messages when an issue is due — one explode, no union of
+    branches, so the rows are computed once."""
+    cat = F.col("category")
+    created_ticket = F.when(
+        cat != FAILED_CATEGORY,
+        F.concat(F.lit("Created ticket: <"), F.col("ticket_id"),
+                 F.lit("> and it is categorized as "), cat)
+    ).otherwise(F.concat(F.lit("Created ticket: <"), F.col("ticket_id"),
+                         F.lit("> and it failed to be categorized")))
+    issue_id = ticket_id(F.col("command_id"), F.col("review_id"), "issue")
+    rid = F.col("review_id").cast("string")
+    need = F.col("needs_issue")
+    entries = F.array(
+        F.struct(F.lit(1).alias("seq"), F.concat(F.lit(CREATING_TICKET), rid).alias("body")),
+        F.struct(F.lit(2).alias("seq"), created_ticket.alias("body")),
+        F.struct(F.lit(3).alias("seq"),
+                 F.when(need, F.concat(F.lit(CREATING_ISSUE), rid)).alias("body")),
+        F.struct(F.lit(4).alias("seq"),
+                 F.when(need, F.concat(F.lit("Created issue: <"), issue_id,
+                                       F.lit("> and it is categorized as "), cat)).alias("body")))
+    m = rows.select("command_id", "review_id", F.col(at).alias("at"), F.explode(entries).alias("m"))
+    return m.where(F.col("m.body").isNotNull()).select(
+        "command_id", "review_id", F.col("m.seq").cast("bigint").alias("seq"),
+        F.col("m.body").alias("body"),
+        F.lit("text").alias("body_type"), F.lit("internal").alias("visibility"),
+        F.col("at").alias("posted_at"),
+        (F.col("at") + F.make_interval(mins=F.lit(MESSAGE_LIFETIME_MINUTES)))
+        .alias("expires_at"))
+
+
 def active_messages(messages: DataFrame, now: Column) -> DataFrame:
     """STR-3 reader view: messages not yet expired at ``now``."""
     return messages.where(F.col("expires_at") > now)

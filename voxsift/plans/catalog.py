@@ -29,7 +29,8 @@ from voxsift.operators.model import (RELEVANCE_TEMPLATE, model_map, prompts,
 from voxsift.operators.summarize import summarize
 from voxsift.operators.tickets import (active_messages, attach_config, attach_tags,
                                        command_messages, latest_messages, priority,
-                                       resolve_config, review_messages, severity, ticket_id)
+                                       resolve_config, severity, ticket_id,
+                                       ticket_messages)
 from voxsift.plans.triage import feedback, flat_tickets, ticket_rows, triage
 from voxsift.session import materialize
 from voxsift.sources import tables
@@ -198,10 +199,8 @@ def severity_tickets(spark, d):
 
 
 def _active(spark, d):
-    t = _ticket_rows(spark, d)
-    i = t.where(F.col("needs_issue")).withColumn(
-        "issue_id", ticket_id(F.col("command_id"), F.col("review_id"), "issue"))
-    return active_messages(review_messages(t, i), F.lit(ACTIVE_AT).cast("timestamp_ntz"))
+    return active_messages(ticket_messages(_ticket_rows(spark, d)),
+                           F.lit(ACTIVE_AT).cast("timestamp_ntz"))
 
 
 def messages_active(spark, d):
