@@ -29,7 +29,7 @@ from voxsift.operators.model import (RELEVANCE_TEMPLATE, model_map, prompts,
 from voxsift.operators.summarize import summarize
 from voxsift.operators.tickets import (active_messages, attach_config, attach_tags,
                                        command_messages, latest_messages, priority,
-                                       resolve_config, severity, ticket_id,
+                                       resolve_config, ticket_id,
                                        ticket_messages)
 from voxsift.plans.triage import feedback, flat_tickets, ticket_rows, triage
 from voxsift.session import materialize
