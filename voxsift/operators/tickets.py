@@ -18,7 +18,7 @@ from voxsift.sources.tables import (DEFAULT_OWNER_ID, DEFAULT_PART_ID, FAILED_CA
                                     TAG_NAMES)
 
 MESSAGE_LIFETIME_MINUTES = 1
-MAX_BROADCAST_APPS = 1_000_000
+MAX_BROADCAST_APPS = 100_000
 
 # Message texts.
 FETCHING = "Fetching reviews from {label}"
