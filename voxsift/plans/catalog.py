@@ -111,10 +111,11 @@ def _max_fetch(cmds: DataFrame) -> int:
     return int(cmds.agg(F.max("fetch_n")).first()[0] or 0)
 
 
-def _search(spark, d, mode, cut=True):
+def _search(spark, d, mode, cut=True, with_commands=False):
     cmds = _search_commands(spark, d, mode)
     posts = social_posts(_reviews(spark, d))
-    return search_posts(posts, cmds, mode, _max_fetch(cmds), cut=cut)
+    found = search_posts(posts, cmds, mode, _max_fetch(cmds), cut=cut)
+    return (found, cmds) if with_commands else found
 
 
 def mention_search(spark, d):
@@ -132,10 +133,11 @@ def page_log_q(spark, d):
 
 
 def page_explode(spark, d):
-    offered = _search(spark, d, "search", cut=False)
-    pages = build_pages(offered)
-    wanted = offered.select("command_id", "fetch_n").distinct()
-    return explode_pages(pages, wanted)
+    offered, cmds = _search(spark, d, "search", cut=False, with_commands=True)
+    # The wanted counts come from the (checkpointed) commands, not from a
+    # second pass over the offered rows; the join to pages keeps only
+    # commands that were offered something.
+    return explode_pages(build_pages(offered), cmds.select("command_id", "fetch_n"))
 
 
 def work_list_first(spark, d):
