@@ -35,3 +35,16 @@ def test_pruning_and_pushdown(spark, sf):
 def test_model_udf_runs_once(spark, sf):
     plan = _plan(catalog.model_map_udf(spark, sf))
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_small_dim_checks_size(spark):
+    from pyspark.sql import functions as F
+
+    from voxsift.operators.joins import small_dim
+    big = spark.range(0, 1000).withColumn("k", F.col("id") % 7)
+    dim = spark.range(0, 50).withColumnRenamed("id", "k")
+    hinted = big.join(small_dim(dim, 100), "k")
+    plain = big.join(small_dim(dim, 10), "k")
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
