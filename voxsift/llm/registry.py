@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import fmindex, simhash
 from .common import table
 
 
@@ -18,11 +18,56 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"), "n_same")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fmindex.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP9_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+phrases AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+windows AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM d, sizes WHERE len(w) >= size)),
+found AS (SELECT doc_id, i, size, item_id FROM windows JOIN phrases USING (size, phrase)),
+hits AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT doc_id, i, unnest(range(0, size)) AS k FROM (SELECT DISTINCT doc_id, i, size FROM found))
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
+        "op9_benchmark_decontamination": op9_benchmark_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_benchmark_decontamination": OP9_SQL,
+    }
