@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fmindex, simhash
+from . import fmindex, quality, simhash
 from .common import table
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality.learn(docs, table(spark, sf_dir, "labels"))
+    w = lambda name: F.col(f"stats.w.{name}")
+    return quality.judge(docs.select("doc_id", "text"), rules).select(
+        "doc_id", w("n_words").alias("n_words"), w("word_chars").alias("word_chars"),
+        F.col("stats.n_symbols").alias("n_symbols"), F.col("stats.l.n_dup_lines").alias("n_dup_lines"),
+        w("n_repeat_words").alias("n_repeat_words"), (F.col("rule") == -1).alias("base_failed"),
+        (F.col("rule") == 0).alias("kept"), "rule")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -62,6 +73,7 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_quality_rules": op6_quality_rules,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
     }
