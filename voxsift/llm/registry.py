@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fmindex, quality, simhash
+from . import fmindex, pieces, quality, simhash
 from .common import table
 
 
+def model_path() -> str:
+    """The public BPE model that the contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), model_path(), digest=True)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -73,6 +84,7 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_sentencepiece": op4_sentencepiece,
         "op6_quality_rules": op6_quality_rules,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
