@@ -65,3 +65,15 @@ def slices(batch, text_at: int, most: int) -> Iterator[tuple[int, int]]:
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield start, stop
         start = stop
+
+
+def bounded_sample(df: DataFrame, most: int, *by: Column) -> DataFrame:
+    """At most ``most`` rows, taken by a hash of ``by`` (the same rows on
+    every run): all rows where there are no more, else the rows whose hash
+    falls in a share of the hash range that is expected to hold 95 % of
+    ``most``."""
+    total = df.count()
+    if total <= most:
+        return df.limit(most)
+    share = int(0.95 * most / total * (1 << 30))
+    return df.where(F.pmod(F.xxhash64(*by), F.lit(1 << 30)) < share).limit(most)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fmindex, pieces, quality, simhash
+from . import fmindex, pieces, pii, quality, simhash
 from .common import table
 
 
@@ -48,6 +48,22 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"], s["end"])), ",")
+    order = F.array(*map(F.lit, pii.KINDS))
+    every = F.sort_array(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        F.array_position(order, s["kind"]).alias("at"), s["start"].alias("start"), s["end"].alias("end"),
+        s["kind"].alias("kind"))))
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(every).alias("spans"),
+        F.size("added").cast("bigint").alias("n_added"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP9_SQL = rf"""
@@ -88,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
+        "op10_pii": op10_pii,
     }
 
 
