@@ -30,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import col, cut, shuffle_partitions, slices
@@ -173,24 +173,27 @@ def list_edges(keys, fps, max_bits):
 
 # -- Spark plans ----------------------------------------------------------
 
-def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def fingerprint(docs: DataFrame, keep: dict[str, str], text_col: str = "text", fp_col: str = "fp",
                 shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(id, fp bigint) of every row; no shuffle."""
-    src = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
+    """The columns ``keep`` (name -> name in the result) and the fingerprint
+    (bigint) of every row; no shuffle."""
+    src = docs.select(col(text_col).cast("string").alias("text"),
+                      *[col(c).alias(str(i)) for i, c in enumerate(keep)])
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            for start, stop in slices(batch, 1, SLICE_BYTES):
+            for start, stop in slices(batch, 0, SLICE_BYTES):
                 part = batch.slice(start, stop - start)
-                fps = fingerprints_of(part.column(1).to_pylist(), shingle_words, seed)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+                fps = fingerprints_of(part.column(0).to_pylist(), shingle_words, seed)
+                arrays = [*part.columns[1:], pa.array(fps.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[str(i) for i in range(len(arrays))])
 
-    kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, fp bigint")
+    kinds = [f.dataType.simpleString() for f in src.schema.fields[1:]] + ["bigint"]
+    out = src.mapInArrow(run, ", ".join(f"`{i}` {k}" for i, k in enumerate(kinds)))
+    return out.toDF(*keep.values(), fp_col)
 
 
 def near_edges(reps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -291,15 +294,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: the id, ``fp`` (bigint), ``n_same`` (rows with
     the same fingerprint) and ``component`` (smallest id reachable over links
     of at most ``max_bits`` differing bits)."""
-    fps = cut(fingerprint(docs, id_col, text_col, shingle_words, seed))
+    fps = cut(fingerprint(docs, {id_col: "id"}, text_col, "fp", shingle_words, seed))
+    return fps.join(_groups(fps, max_bits), "fp").select(
+        F.col("id").alias(id_col), "fp", "n_same", "component")
+
+
+def _groups(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, n_same, least, root, component) of each distinct fingerprint of
+    the rows (id, fp)."""
     reps = fps.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n_same"))
     labels = components(near_edges(reps, max_bits))
     roots = reps.join(labels, reps.fp == labels.node, "left").select(
         "fp", "least", "n_same", F.coalesce("root", "fp").alias("root"))
     ids = roots.groupBy("root").agg(F.min("least").alias("component"))
-    found = roots.join(ids, "root").select("fp", "n_same", "component")
-    return fps.join(found, "fp").select(
-        F.col("id").alias(id_col), "fp", "n_same", "component")
+    return roots.join(ids, "root").select("fp", "n_same", "least", "root", "component")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+               seed: int = SEED) -> DataFrame:
+    """The documents, all columns, with one row of each component: the one
+    of the smallest id (then smallest fingerprint); of equal such rows one.
+    A row without an id stays only if its component has no id."""
+    fps = cut(fingerprint(docs, {id_col: "id"}, text_col, "fp", shingle_words, seed))
+    groups = _groups(fps, max_bits)
+    # min() passes over nulls, so a component's rows without ids lose to others
+    first = groups.groupBy("root").agg(F.min(F.struct(
+        F.col("least").isNull().alias("missing"), "least", "fp")).alias("first"))
+    keepers = first.select(F.col("first.least").alias("keep_id"), F.col("first.fp").alias("keep_fp"))
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = fingerprint(docs, names, text_col, "fp", shingle_words, seed)
+    mine = names[id_col]
+    one = Window.partitionBy(mine, "fp").orderBy(F.length(names[text_col]))
+    rows = rows.withColumn("place", F.row_number().over(one)).where("place = 1")
+    kept = rows.join(keepers, rows[mine].eqNullSafe(keepers.keep_id) & (rows.fp == keepers.keep_fp), "left_semi")
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def fingerprint_hex(fp):
