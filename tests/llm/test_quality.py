@@ -22,7 +22,7 @@ def brute(text):
 
 
 def measured(spark, rows, schema="doc_id bigint, text string"):
-    df = quality.measure(spark.createDataFrame(rows, schema), "text", "s")
+    df = spark.createDataFrame(rows, schema).withColumn("s", quality.measured("text", lambda s: s))
     return {r[0]: tuple(r)[1:] for r in df.select(
         "doc_id", "s.w.n_words", "s.w.word_chars", "s.n_symbols", "s.l.n_dup_lines", "s.w.n_repeat_words").collect()}
 
@@ -85,7 +85,7 @@ def test_no_labels_and_empty_tables(spark):
 def test_base_rule(spark):
     rows = [(1, "w " * 49), (2, " ".join(f"w{i}" for i in range(50))), (3, "same " * 60), (4, None)]
     got = quality.judge(spark.createDataFrame(rows, "doc_id int, text string"), [])
-    assert {r.doc_id: r.rule for r in got.collect()} == {1: -1, 2: 0, 3: -1, 4: -1}
+    assert {r.doc_id: r.judged.rule for r in got.collect()} == {1: -1, 2: 0, 3: -1, 4: -1}
 
 
 def test_conditions_read_as_rules():

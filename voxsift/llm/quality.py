@@ -1,6 +1,6 @@
 """Quality rules as a learned decision list, in DataFrame functions only.
 
-``measure`` computes the text statistics inside the row (no shuffle, no
+``measured`` computes the text statistics inside the row (no shuffle, no
 Python).  ``learn`` fits an ordered list of threshold conjunctions to
 labelled rows by sequential covering: a rule grows one condition at a time by
 information gain on two thirds of the rows, is pruned on the other third, is
@@ -25,7 +25,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, col, fresh
+from .common import SPACE, col
 
 MAX_FIT_ROWS = 20_000
 BINS = 24
@@ -94,31 +94,33 @@ def statistics(text: Column) -> Column:
         F.regexp_count(text, F.lit(r"[!?]")).cast("bigint").alias("n_marks"))
 
 
-def measure(docs: DataFrame, text_col: str, stats: str) -> DataFrame:
-    """The documents with the struct column ``stats``."""
-    return docs.withColumn(stats, statistics(F.coalesce(col(text_col).cast("string"), F.lit(""))))
+def measured(text_col: str, body) -> Column:
+    """``body(statistics)`` of a text column, everything in one expression:
+    as columns of their own, the optimizer would copy the statistics into
+    every filter and projection that reads them."""
+    return let(statistics(F.coalesce(col(text_col).cast("string"), F.lit(""))), body)
 
 
-def features(stats: str) -> dict[str, Column]:
-    """Interpretable rates of a measured text."""
-    s = lambda *path: F.col(".".join([stats, *path])).cast("double")
-    words = F.greatest(s("w", "n_words"), F.lit(1.0))
-    chars = F.greatest(s("w", "word_chars"), F.lit(1.0))
+def features(s: Column) -> dict[str, Column]:
+    """Interpretable rates of a text's statistics."""
+    number = lambda x: x.cast("double")
+    words = F.greatest(number(s["w"]["n_words"]), F.lit(1.0))
+    chars = F.greatest(number(s["w"]["word_chars"]), F.lit(1.0))
     return {
-        "words": s("w", "n_words"),
-        "word_length": s("w", "word_chars") / words,
-        "distinct_share": s("w", "n_distinct") / words,
-        "repeat_share": s("w", "n_repeat_words") / words,
-        "symbols_per_word": s("n_symbols") / words,
-        "dup_line_share": s("l", "n_dup_lines") / F.greatest(s("l", "n_lines"), F.lit(1.0)),
-        "upper_share": s("n_upper") / chars,
-        "digit_share": s("n_digits") / chars,
-        "marks_per_word": s("n_marks") / words,
+        "words": number(s["w"]["n_words"]),
+        "word_length": number(s["w"]["word_chars"]) / words,
+        "distinct_share": number(s["w"]["n_distinct"]) / words,
+        "repeat_share": number(s["w"]["n_repeat_words"]) / words,
+        "symbols_per_word": number(s["n_symbols"]) / words,
+        "dup_line_share": number(s["l"]["n_dup_lines"]) / F.greatest(number(s["l"]["n_lines"]), F.lit(1.0)),
+        "upper_share": number(s["n_upper"]) / chars,
+        "digit_share": number(s["n_digits"]) / chars,
+        "marks_per_word": number(s["n_marks"]) / words,
     }
 
 
-def base_failed(stats: str) -> Column:
-    n, repeat = F.col(f"{stats}.w.n_words"), F.col(f"{stats}.w.n_repeat_words")
+def base_failed(s: Column) -> Column:
+    n, repeat = s["w"]["n_words"], s["w"]["n_repeat_words"]
     return (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
 
 
@@ -228,12 +230,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .where("id IS NOT NULL AND junk IS NOT NULL")
               .orderBy(F.xxhash64("id"), "id", "junk").limit(max_fit_rows))
     rows = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    measured = measure(rows, "text", "stats")
-    feats = features("stats")
-    names = list(feats)
-    table = measured.where(~base_failed("stats")).select(
-        "junk", (F.pmod(F.xxhash64("id", F.lit("prune")), F.lit(3)) == 0).alias("held"),
-        *[x.alias(n) for n, x in feats.items()]).persist()
+    shown = measured("text", lambda s: F.struct(
+        base_failed(s).alias("failed"), *[x.alias(n) for n, x in features(s).items()]))
+    every = rows.select("junk", (F.pmod(F.xxhash64("id", F.lit("prune")), F.lit(3)) == 0).alias("held"),
+                        shown.alias("f")).persist()
+    names = list(features(F.struct()))
+    table = every.where("NOT f.failed").select("junk", "held", *[F.col(f"f.{n}").alias(n) for n in names])
     try:
         levels = [i / bins for i in range(bins + 1)]
         cuts = table.groupBy("junk").agg(*[
@@ -247,34 +249,32 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             F.sum(F.col("junk").cast("int")).alias("n_junk"),
             F.sum((~F.col("junk")).cast("int")).alias("n_clean")).collect()
     finally:
-        table.unpersist()
+        every.unpersist()
     return cover([([r[n] for n in names], r["held"], r["n_junk"], r["n_clean"]) for r in cells],
                  names, thresholds)
 
 
-def verdict(rules: list[Rule], stats: str) -> Column:
-    """Number (from 1) of the first rule that rejects the measured row, 0 if
-    none does: one ordered conditional."""
-    feats = features(stats)
-    out = None
+def verdict(rules: list[Rule], s: Column) -> Column:
+    """Number of the rule that rejects a text of these statistics: -1 the
+    base rule, from 1 the first rule of the list, 0 none; one ordered
+    conditional."""
+    feats = features(s)
+    out = F.when(base_failed(s), -1)
     for i, rule in enumerate(rules, 1):
         met = rule.conditions[0].column(feats)
         for c in rule.conditions[1:]:
             met = met & c.column(feats)
-        out = F.when(met, i) if out is None else out.when(met, i)
-    return F.lit(0) if out is None else out.otherwise(0)
+        out = out.when(met, i)
+    return out.otherwise(0)
 
 
-def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", stats: str = "stats",
-          rule: str = "rule") -> DataFrame:
-    """The documents with their statistics (struct ``stats``) and the number
-    of the rejecting rule: -1 the base rule, 0 none."""
-    return measure(docs, text_col, stats).withColumn(
-        rule, F.when(base_failed(stats), -1).otherwise(verdict(rules, stats)))
+def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", name: str = "judged") -> DataFrame:
+    """The documents with a struct column ``name``: their ``statistics`` and
+    the number of the rejecting ``rule``."""
+    return docs.withColumn(name, measured(text_col, lambda s: F.struct(
+        s.alias("statistics"), verdict(rules, s).alias("rule"))))
 
 
 def keep_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """The documents, all columns, that no rule rejects."""
-    stats = fresh(docs, "stats")
-    judged = measure(docs, text_col, stats)
-    return judged.where(~base_failed(stats) & (verdict(rules, stats) == 0)).drop(stats)
+    return docs.where(measured(text_col, lambda s: verdict(rules, s) == 0))

@@ -38,12 +38,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
-    w = lambda name: F.col(f"stats.w.{name}")
+    w = lambda name: F.col(f"judged.statistics.w.{name}").alias(name)
     return quality.judge(docs.select("doc_id", "text"), rules).select(
-        "doc_id", w("n_words").alias("n_words"), w("word_chars").alias("word_chars"),
-        F.col("stats.n_symbols").alias("n_symbols"), F.col("stats.l.n_dup_lines").alias("n_dup_lines"),
-        w("n_repeat_words").alias("n_repeat_words"), (F.col("rule") == -1).alias("base_failed"),
-        (F.col("rule") == 0).alias("kept"), "rule")
+        "doc_id", w("n_words"), w("word_chars"), "judged.statistics.n_symbols",
+        "judged.statistics.l.n_dup_lines", w("n_repeat_words"), (F.col("judged.rule") == -1).alias("base_failed"),
+        (F.col("judged.rule") == 0).alias("kept"), "judged.rule")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
