@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fmindex, pieces, pii, quality, simhash
-from .common import table
+from . import chat, fmindex, langid, pieces, pii, quality, simhash, toxicity
+from .common import remainder, table
 
 
 #: Both turns of conversation -1: its text looks like the template's marks.
@@ -35,6 +35,14 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), model_path(), digest=True)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 3) == 1
+    model = langid.learn(docs, ~held_out)
+    return langid.identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -45,6 +53,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("judged.rule") == 0).alias("kept"), "judged.rule")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -133,7 +148,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_chat_formatting": op3_chat_formatting,
         "op4_sentencepiece": op4_sentencepiece,
+        "op5_language_id": op5_language_id,
         "op6_quality_rules": op6_quality_rules,
+        "op7_toxicity": op7_toxicity,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_pii": op10_pii,
