@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fmindex, langid, pieces, pii, quality, simhash, toxicity
+from . import chat, fmindex, langid, pieces, pii, quality, simhash, spans, toxicity
 from .common import remainder, table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spans.remove_repeats(table(spark, sf_dir, "documents"))
+    shown = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_sentences", "n_removed", shown.alias("removed"), "text")
+
+
 #: Both turns of conversation -1: its text looks like the template's marks.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -146,6 +152,7 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op3_chat_formatting": op3_chat_formatting,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_language_id": op5_language_id,
