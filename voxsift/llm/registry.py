@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fmindex, langid, pieces, pii, quality, simhash, spans, toxicity
+from . import chat, fmindex, langid, pieces, pii, quality, simhash, spans, suffixtree, toxicity
 from .common import remainder, table
 
 
@@ -17,6 +17,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "n_removed", shown.alias("removed"), "text")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 #: Both turns of conversation -1: its text looks like the template's marks.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -153,6 +157,7 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_chat_formatting": op3_chat_formatting,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_language_id": op5_language_id,
