@@ -46,7 +46,7 @@ def js_parse_int(col: Column | str) -> Column:
     m = F.regexp_extract(_c(col), f"^{JS_WHITESPACE_CLASS}*([+-]?(?:0[xX][0-9a-fA-F]*|[0-9]+))", 1)
     neg = F.substring(m, 1, 1) == "-"
     unsigned = F.regexp_replace(m, "^[+-]", "")
-    hex_digits = F.substring(unsigned, 3, 1 << 20)
+    hex_digits = F.regexp_replace(unsigned, "^0[xX]", "")
     is_hex = F.lower(F.substring(unsigned, 1, 2)) == "0x"
     value = (F.when(m == "", F.lit(None).cast("bigint"))
              .when(is_hex, F.when(hex_digits != "", F.conv(hex_digits, 16, 10).try_cast("bigint")))

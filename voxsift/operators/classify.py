@@ -1,10 +1,10 @@
 """Noise, relevance and category steps (FLT-2, FLT-3, FLT-16, TXT-1, TXT-3,
 JN-2).
 
-Rule scoring happens inside each row: the (small, size-checked) rule table
-becomes literal maps and every review scores its own distinct tokens with
-higher-order functions, so no token table is exploded or shuffled.  Rule
-tables above the bound take the explode + join + aggregate path instead.
+The program's own rules are scored inside each row: they become one literal
+map, and every review looks its distinct tokens up once with higher-order
+functions (interpreted, but without a token table or a shuffle).  Rules given
+as a DataFrame, of any size, are joined on the term.
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxsift.functions.jsstr import longer_than
-from voxsift.functions.replies import keep_relevant, parse_reply
 from voxsift.functions.text import token_set
 from voxsift.sources.tables import FAILED_CATEGORY, TAG_NAMES
 
 MIN_REVIEW_SIZE = 3
-MAX_LITERAL_RULES = 10_000
 
 # Relevance rule terms and weights.  The provided texts are
 # invented prose, so the terms are frequent function words of each of the
@@ -56,82 +54,89 @@ def noise_filter(df: DataFrame, min_size: int = MIN_REVIEW_SIZE, text: str = "te
     return df.where(longer_than(F.col(text), min_size))
 
 
-def _score(tokens: Column, weights: dict[str, int]) -> Column:
+def _weights(pairs) -> dict:
+    """Summed weight of each term; the weights' number type is kept."""
+    out: dict = {}
+    for term, w in pairs:
+        out[term] = out.get(term, 0) + w
+    return out
+
+
+def _score(tokens: Column, weights: dict) -> Column:
     if not weights:
         return F.lit(0).cast("bigint")
-    m = F.create_map(*[x for k, v in sorted(weights.items()) for x in (F.lit(k), F.lit(v))])
-    return F.aggregate(tokens, F.lit(0).cast("bigint"),
-                       lambda acc, t: acc + F.coalesce(F.try_element_at(m, t), F.lit(0)))
+    kind = "bigint" if all(isinstance(v, int) for v in weights.values()) else "double"
+    m = F.create_map(*[x for k, v in sorted(weights.items()) for x in (F.lit(k), F.lit(v).cast(kind))])
+    return F.aggregate(tokens, F.lit(0).cast(kind),
+                       lambda acc, t: acc + F.coalesce(F.try_element_at(m, t), F.lit(0).cast(kind)))
 
 
 def relevance_by_rules(df: DataFrame, rules: list[tuple[str, int]] | None = None,
                        threshold: int = RELEVANCE_THRESHOLD, text: str = "text") -> DataFrame:
     """TXT-1(b): score = sum of weights of the distinct tokens hit."""
-    weights: dict[str, int] = {}
-    for term, w in (rules or RELEVANCE_RULES):
-        weights[term] = weights.get(term, 0) + int(w)
-    score = _score(token_set(F.col(text)), weights)
+    score = _score(token_set(F.col(text)), _weights(rules or RELEVANCE_RULES))
     return df.withColumn("relevance_score", score).withColumn(
         "relevant", F.col("relevance_score") >= threshold)
 
 
-def relevance_from_replies(df: DataFrame, reply: str = "reply",
-                           strict_string: bool = True) -> DataFrame:
-    """TXT-1(a) / FLT-3 on replayed or live model replies."""
-    return df.where(keep_relevant(parse_reply(F.col(reply)), "relevance", strict_string))
-
-
-def _label_weights(rules) -> dict[str, dict[str, int]]:
-    by_label: dict[str, dict[str, int]] = {}
-    for label, term, w in rules:
-        d = by_label.setdefault(label, {})
-        d[term] = d.get(term, 0) + int(w)
-    return by_label
-
-
 def categorize_by_rules(df: DataFrame, rules=None, text: str = "text",
-                        tags_list: list[str] | None = None) -> DataFrame:
+                        tags_list: list[str] | None = None,
+                        keys: list[str] | None = None) -> DataFrame:
     """TXT-3 + JN-2 + FLT-16: the label with the highest rule score (ties to
     the earlier label: tags in manifest order, then other labels by name);
-    no hit, or a label outside the tag set, gives failed_to_infer_category.
+    no positive score, or a label outside the tag set, gives
+    failed_to_infer_category.
 
-    ``rules`` is a list of ``(label, term, weight)`` or a DataFrame with
-    those columns (collected only when within ``MAX_LITERAL_RULES`` rows)."""
+    ``rules`` is a list of ``(label, term, weight)``, part of the program and
+    scored inside the row, or a DataFrame with those columns of any size,
+    joined on the term.  Both add up the weights as they are."""
     tag_set = tags_list or TAG_NAMES
     if isinstance(rules, DataFrame):
-        if rules.limit(MAX_LITERAL_RULES + 1).count() > MAX_LITERAL_RULES:
-            return _categorize_by_join(df, rules, text, tag_set)
-        rules = [(r["label"], r["term"], r["weight"]) for r in rules.collect()]
-    by_label = _label_weights(rules or CATEGORY_RULES)
-    order = [lbl for lbl in tag_set if lbl in by_label] + sorted(
-        lbl for lbl in by_label if lbl not in tag_set)
-    toks = token_set(F.col(text))
-    scored = df.withColumn("_toks", toks)
-    cands = [F.struct(_score(F.col("_toks"), by_label[lbl]).alias("score"),
-                      F.lit(-i).alias("neg_order"), F.lit(lbl).alias("label"))
-             for i, lbl in enumerate(order)]
-    best = F.greatest(*cands) if len(cands) > 1 else cands[0]
-    scored = scored.withColumn("_best", best).drop("_toks")
+        best = _best_by_join(df, rules, text, tag_set, keys)
+    else:
+        best = _best_in_row(df, rules or CATEGORY_RULES, text, tag_set)
     in_tags = F.col("_best.label").isin(*tag_set)
-    category = F.when((F.col("_best.score") > 0) & in_tags, F.col("_best.label")).otherwise(
-        F.lit(FAILED_CATEGORY))
-    return (scored.withColumn("category_score", F.col("_best.score"))
-            .withColumn("category", category).drop("_best"))
-
-
-def _categorize_by_join(df: DataFrame, rules: DataFrame, text: str, tag_set) -> DataFrame:
-    """Large rule tables: explode distinct tokens, join the rules on the
-    term, aggregate per (review, label) with partial aggregation."""
+    hit = F.coalesce(F.col("_best.score") > 0, F.lit(False))
+    return (best.withColumn("category_score", F.when(hit, F.col("_best.score")).otherwise(F.lit(0)))
+            .withColumn("category", F.when(hit & in_tags, F.col("_best.label"))
+                        .otherwise(F.lit(FAILED_CATEGORY))).drop("_best"))
+
+
+def _best_in_row(df: DataFrame, rules, text: str, tag_set) -> DataFrame:
+    """Fixed rules: each term's weights are one array over the labels, so a
+    review's distinct tokens are looked up once, in one pass."""
+    present = {label for label, _, _ in rules}
+    order = [x for x in tag_set if x in present] + sorted(present.difference(tag_set))
+    kind = "bigint" if all(isinstance(w, int) for _, _, w in rules) else "double"
+    by_term: dict[str, list] = {}
+    for label, term, w in rules:
+        by_term.setdefault(term, [0] * len(order))[order.index(label)] += w
+    zero = F.array(*[F.lit(0).cast(kind) for _ in order])
+    m = F.create_map(*[x for term, ws in sorted(by_term.items()) for x in (
+        F.lit(term), F.array(*[F.lit(w).cast(kind) for w in ws]))])
+    hits = F.filter(token_set(F.col(text)), lambda t: t.isin(*sorted(by_term)))
+    scores = F.aggregate(hits, zero, lambda acc, t: F.zip_with(
+        acc, F.try_element_at(m, t), lambda a, b: a + b))
+    out = df.withColumn("_scores", scores)
+    # max() of structs: the highest score, then the earliest label
+    ranked = F.transform(F.col("_scores"), lambda s, i: F.struct(s.alias("score"), (-i).alias("neg_order")))
+    best = F.array_max(ranked)
+    labels = F.array(*map(F.lit, order))
+    return (out.withColumn("_best", best)
+            .withColumn("_best", F.struct(F.col("_best.score").alias("score"),
+                                          F.get(labels, -F.col("_best.neg_order")).alias("label")))
+            .drop("_scores"))
+
+
+def _best_by_join(df: DataFrame, rules: DataFrame, text: str, tag_set, keys=None) -> DataFrame:
+    """Rule tables of any size: explode distinct tokens, join the rules on
+    the term, aggregate per (row key, label) with partial aggregation."""
+    keys = keys or [c for c in ("command_id", "review_id") if c in df.columns]
     label_rank = F.array_position(F.array(*[F.lit(t) for t in tag_set]), F.col("label"))
-    hits = (df.select("review_id", F.explode(token_set(F.col(text))).alias("term"))
+    hits = (df.select(*keys, F.explode(token_set(F.col(text))).alias("term"))
             .join(rules.select("label", "term", "weight"), "term")
-            .groupBy("review_id", "label").agg(F.sum("weight").cast("bigint").alias("score")))
-    best = hits.groupBy("review_id").agg(F.max(F.struct(
+            .groupBy(*keys, "label").agg(F.sum("weight").alias("score")))
+    best = hits.groupBy(*keys).agg(F.max(F.struct(
         "score", F.when(label_rank > 0, -label_rank).otherwise(F.lit(-1000)).alias("neg_order"),
         "label")).alias("_best"))
-    out = df.join(best, "review_id", "left")
-    in_tags = F.col("_best.label").isin(*tag_set)
-    return (out.withColumn("category_score", F.coalesce(F.col("_best.score"), F.lit(0)))
-            .withColumn("category", F.when(in_tags & (F.col("_best.score") > 0),
-                                           F.col("_best.label")).otherwise(F.lit(FAILED_CATEGORY)))
-            .drop("_best"))
+    return df.join(best, keys, "left")

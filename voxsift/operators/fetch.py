@@ -20,6 +20,7 @@ from voxsift.sources.tables import SOCIAL_START_DATE
 PAGE_SIZE = 20
 # Provenance only: the request a cursor read would make (neutral host).
 SEARCH_ENDPOINT = "https://social.example/search/search"
+HASHTAG_ENDPOINT = "https://social.example/hashtag/hashtag"
 # Source labels used in ticket texts.
 STORE_LABEL = "Playstore"
 SOCIAL_LABEL = "Twitter"
@@ -49,30 +50,29 @@ def with_order_key(df: DataFrame, rank_col: str = "rank") -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread input read from fewer files than the cluster has cores
-    (a single-file table would otherwise run its text work in one task).
-    Inputs of many files — any large table — are left alone, so they never
-    pay an extra shuffle here.  Decided from the file listing; nothing runs."""
+    """Hash-spread input that Spark would read in fewer tasks than the
+    cluster has cores (a small single-file table would otherwise run its text
+    work in one task).  Larger inputs are left alone, so they never pay an
+    extra shuffle here.  Nothing runs: only the scan's partitions are planned."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def top_n_per_command(candidates: DataFrame, commands: DataFrame, key: str,
                       max_n: int, order: list[Column] | None = None,
-                      cut: bool = True) -> DataFrame:
+                      page_size: int = 1) -> DataFrame:
     """JN-6: each command gets the first ``fetch_n`` candidates of its key.
 
     Candidates are ranked once per key (not per command) and cut at the
-    largest requested count, then joined to the commands; the join carries
-    at most ``max_n`` rows per key however many commands share it.  With
-    ``cut=False`` every command sees all ``max_n`` ranked rows (what a paged
-    source would offer) and the caller applies its own stop rule.
+    largest requested count, then joined to the commands up to each
+    command's own count.  With a ``page_size``, counts are rounded up to
+    whole pages: what a paged source would offer before the stop rule.
     """
-    ranked = top_n(candidates, max(int(max_n), 0), [key], order)
-    out = commands.join(ranked, key)
-    return out.where(F.col("rank") <= F.col("fetch_n")) if cut else out
+    offered = F.ceil(F.col("fetch_n") / page_size) * page_size
+    # the partial group limit takes an int; no rank goes beyond it
+    bound = min(-(-max(int(max_n), 0) // page_size) * page_size, (1 << 31) - 1)
+    ranked = top_n(candidates, bound, [key], order)
+    return commands.join(ranked, key).where(F.col("rank") <= offered)
 
 
 def social_posts(reviews: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def social_posts(reviews: DataFrame) -> DataFrame:
 
 
 def search_posts(posts: DataFrame, commands: DataFrame, mode: str,
-                 max_n: int, cut: bool = True) -> DataFrame:
+                 max_n: int, page_size: int = 1, start_date: str = SOCIAL_START_DATE) -> DataFrame:
     """SRC-3 (``search``: mention, English, on/after the start date) and
     SRC-4 (``hashtag``: no language or date filter); engagement = votes.
 
@@ -97,15 +97,16 @@ def search_posts(posts: DataFrame, commands: DataFrame, mode: str,
     p = posts
     if mode == "search":
         p = p.where((F.col("language") == "en") &
-                    (F.col("created_at") >= F.lit(SOCIAL_START_DATE).cast("timestamp_ntz")))
+                    (F.col("created_at") >= F.lit(start_date).cast("timestamp_ntz")))
     indexed = p.select("review_id", "votes", F.explode(F.array_distinct(tags_of("text", sigil)))
                        .alias("term"))
     cmds = commands.where(F.col("mode") == mode).select("command_id", F.lower("term").alias("term"),
                                                         "fetch_n")
-    return top_n_per_command(indexed, cmds, "term", max_n, cut=cut)
+    return top_n_per_command(indexed, cmds, "term", max_n, page_size=page_size)
 
 
-def page_log(fetched: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def page_log(fetched: DataFrame, page_size: int = PAGE_SIZE, mode: str = "search",
+             start_date: str = SOCIAL_START_DATE) -> DataFrame:
     """SRC-5 / WIN-3 / LIM-2 / AGG-3 / SCA-6 / SCA-15 / SCA-19: the page
     requests a cursor read makes for each command's ranked rows: page
     number, rows on the page, rows seen before, the requested limit
@@ -123,9 +124,12 @@ def page_log(fetched: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     token = F.when(F.col("page_no") > 1, F.concat(
         F.lit("&continuation_token="), F.col("command_id").cast("string"), F.lit(":"),
         F.col("page_no").cast("string"))).otherwise(F.lit(""))
-    url = F.concat(F.lit(f"{SEARCH_ENDPOINT}?query=%40"), F.col("term"),
-                   F.lit(f"&section=top&language=en&start_date={SOCIAL_START_DATE}"), token,
-                   F.lit("&limit="), limit.cast("string"))
+    if mode == "search":
+        request = F.concat(F.lit(f"{SEARCH_ENDPOINT}?query=%40"), F.col("term"),
+                           F.lit(f"&section=top&language=en&start_date={start_date}"))
+    else:
+        request = F.concat(F.lit(f"{HASHTAG_ENDPOINT}?hashtag=%23"), F.col("term"))
+    url = F.concat(request, token, F.lit("&limit="), limit.cast("string"))
     return pages.select(
         "command_id", "page_no", "rows_in_page",
         seen_before.cast("bigint").alias("seen_before"),
@@ -148,18 +152,32 @@ def build_pages(fetched: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     return g.withColumn("continuation_token", token)
 
 
-def explode_pages(pages: DataFrame, wanted: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def explode_pages(pages: DataFrame, wanted: DataFrame, page_size: int = PAGE_SIZE,
+                  on_error: str = "empty", failed: str | None = None) -> DataFrame:
     """SET-1 with the cursor stop rule: a page is read only while every
     earlier page was full and fewer than ``fetch_n`` rows were seen; rows past
-    ``fetch_n`` are cut (Q6).  ``wanted`` is ``(command_id, fetch_n)``."""
+    ``fetch_n`` are cut (Q6).  ``wanted`` is ``(command_id, fetch_n)``.
+
+    ``failed`` names a boolean column of pages whose request failed.  When
+    such a page is reached, ``on_error`` says what its command gets (Q5):
+    ``empty`` nothing at all, ``partial`` the rows of the pages before it."""
+    if on_error not in ("empty", "partial"):
+        raise ValueError(f"unknown error policy {on_error!r}")
     w = Window.partitionBy("command_id").orderBy("page_no")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    p = (pages.join(wanted, "command_id")
+    bad = F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(False)
+    p = (pages.withColumn("_failed", bad)
+         .withColumn("results", F.when(F.col("_failed"), F.slice("results", 1, 0)).otherwise(F.col("results")))
+         .join(wanted, "command_id")
          .withColumn("seen_before", F.coalesce(F.sum(F.size("results")).over(before), F.lit(0)))
          .withColumn("short_before",
                      F.coalesce(F.max((F.size("results") != page_size).cast("int")).over(before),
                                 F.lit(0))))
     read = p.where((F.col("short_before") == 0) & (F.col("seen_before") < F.col("fetch_n")))
+    if failed and on_error == "empty":
+        # a failed page is read last: an empty page ends the cursor
+        broken = read.where("_failed").select("command_id")
+        read = read.join(broken, "command_id", "left_anti")
     rows = read.select("command_id", "page_no", "seen_before", "fetch_n",
                        F.posexplode("results").alias("pos", "r"))
     return rows.where(F.col("seen_before") + F.col("pos") < F.col("fetch_n")).select(

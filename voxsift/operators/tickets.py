@@ -12,22 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxsift.functions.jsstr import iso_utc
 from voxsift.operators.joins import small_dim
 from voxsift.sources.tables import (DEFAULT_OWNER_ID, DEFAULT_PART_ID, FAILED_CATEGORY,
-                                    TAG_NAMES)
+                                    SOCIAL_DEFAULT_ARGS, TAG_NAMES)
 
 MESSAGE_LIFETIME_MINUTES = 1
 MAX_BROADCAST_APPS = 100_000
 
 # Message texts.
-FETCHING = "Fetching reviews from {label}"
-FETCHED = "Fetched {n} reviews, creating tickets now."
-CREATING_TICKET = "Creating ticket for review: "
-CREATED_TICKET = "Created ticket: <{id}> and it is categorized as {category}"
-CREATED_TICKET_FAILED = "Created ticket: <{id}> and it failed to be categorized"
-CREATING_ISSUE = "Creating issue for review: "
-CREATED_ISSUE = "Created issue: <{id}> and it is categorized as {category}"
+FETCHING = "Fetching reviews from {}"
+FETCHED = "Fetched {} reviews, creating tickets now."
+CREATING_TICKET = "Creating ticket for review: {}"
+CREATED_TICKET = "Created ticket: <{}> and it is categorized as {}"
+CREATED_TICKET_FAILED = "Created ticket: <{}> and it failed to be categorized"
+CREATING_ISSUE = "Creating issue for review: {}"
+CREATED_ISSUE = "Created issue: <{}> and it is categorized as {}"
 NOT_A_NUMBER = "Please enter a valid number"
 OVER_LIMIT = "Please enter a number less than 100"
 
@@ -41,7 +40,16 @@ SOCIAL_HELP = (
     "Usage: /twitter_reviews_process <hashtag/search> <item_to_search> "
     "<number_of_reviews_to_fetch>\n\n"
     "number_of_reviews_to_fetch: how many posts to fetch, 1 to 100; "
-    "default: search blinkiteng 10.")
+    f"default: {SOCIAL_DEFAULT_ARGS}.")
+
+
+def filled(message: str, *values: Column) -> Column:
+    """A message text with its places filled by columns."""
+    parts = message.split("{}")
+    out = [F.lit(parts[0])]
+    for value, part in zip(values, parts[1:]):
+        out += [value, F.lit(part)]
+    return F.concat(*out)
 
 
 def command_messages(parsed: DataFrame, store_command: str = "playstore_reviews_process"
@@ -53,12 +61,11 @@ def command_messages(parsed: DataFrame, store_command: str = "playstore_reviews_
     label = F.when(is_store, F.lit("Playstore")).otherwise(F.lit("Twitter"))
     st = F.col("status")
     first = F.when(st == "help", F.when(is_store, F.lit(STORE_HELP)).otherwise(F.lit(SOCIAL_HELP))
-                   ).otherwise(F.concat(F.lit("Fetching reviews from "), label))
+                   ).otherwise(filled(FETCHING, label))
     second = (F.when(st == "reject_not_integer", F.lit(NOT_A_NUMBER))
               .when(st.isin("warn_over_100", "reject_over_100"), F.lit(OVER_LIMIT)))
     third = F.when(st.isin("ok", "warn_over_100", "warn_non_positive"),
-                   F.concat(F.lit("Fetched "), F.col("requested").cast("string"),
-                            F.lit(" reviews, creating tickets now.")))
+                   filled(FETCHED, F.col("requested").cast("string")))
     entries = F.array(F.struct(F.lit(1).alias("seq"), first.alias("body")),
                       F.struct(F.lit(2).alias("seq"), second.alias("body")),
                       F.struct(F.lit(3).alias("seq"), third.alias("body")))
@@ -104,9 +111,12 @@ def resolve_config(config: DataFrame) -> DataFrame:
 
 
 def attach_config(df: DataFrame, config: DataFrame) -> DataFrame:
-    """JN-5: per-app config on every row; broadcast only below the bound."""
-    resolved = resolve_config(config)
-    return df.join(small_dim(resolved, MAX_BROADCAST_APPS), "app_id", "left")
+    """JN-5: per-app config on every row; broadcast only below the bound.  An
+    app without a config row lacks its required inputs."""
+    resolved = resolve_config(config).withColumn("_known", F.lit(True))
+    out = df.join(small_dim(resolved, MAX_BROADCAST_APPS), "app_id", "left")
+    error = F.when(F.col("_known").isNull(), F.lit("app_id")).otherwise(F.col("config_error"))
+    return out.withColumn("config_error", error).drop("_known")
 
 
 def attach_tags(df: DataFrame, tags: DataFrame) -> DataFrame:
@@ -146,16 +156,18 @@ def tickets(df: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
     )
 
 
-def issues(tix: DataFrame, issue_text: DataFrame) -> DataFrame:
+def issues(tix: DataFrame, issue_text: DataFrame, reuse_ticket_text: bool = False) -> DataFrame:
     """FLT-5 / SCA-17 / PRJ-9 / PRJ-10 / JN-8 / SNK-2.
 
     Store issues: ``issue_title + "Ticket ID:" + ticket_id`` and
-    ``issue_summary\\nurl``.  Social issues reuse the ticket's title and
-    summary (Q14).  ``issue_text`` is ``(review_id, issue_title,
-    issue_summary, url, summary)`` for the reviews that need an issue."""
+    ``issue_summary\\nurl``.  Social issues, and all issues with
+    ``reuse_ticket_text``, take the ticket's title and body (Q14).
+    ``issue_text`` is ``(command_id, review_id, issue_title, issue_summary,
+    url)`` of the store reviews that need an issue: a review fetched by two
+    commands has a ticket and an issue in each."""
     eligible = tix.where(F.col("needs_issue"))
-    j = eligible.join(issue_text, "review_id")
-    is_store = F.col("source") == "store"
+    j = eligible.join(issue_text, ["command_id", "review_id"], "left")
+    is_store = (F.col("source") == "store") & F.lit(not reuse_ticket_text)
     title = F.when(is_store, F.concat(F.col("issue_title"), F.lit("Ticket ID:"),
                                       F.col("ticket_id"))).otherwise(F.col("title"))
     body = F.when(is_store, F.concat(F.col("issue_summary"), F.lit("\n"), F.col("url"))) \
@@ -168,64 +180,24 @@ def issues(tix: DataFrame, issue_text: DataFrame) -> DataFrame:
         priority(F.col("severity")).alias("priority"), "category")
 
 
-def review_messages(tix: DataFrame, iss: DataFrame, at: str = "created_at") -> DataFrame:
-    """PRJ-11 / SNK-3 / SNK-5: the progress messages of each ticket and
-    issue, 1-minute expiry.  ``at`` is the processing time column."""
-    cat = F.col("category")
-    created_ticket = F.when(
-        cat != FAILED_CATEGORY,
-        F.concat(F.lit("Created ticket: <"), F.col("ticket_id"),
-                 F.lit("> and it is categorized as "), cat)
-    ).otherwise(F.concat(F.lit("Created ticket: <"), F.col("ticket_id"),
-                         F.lit("> and it failed to be categorized")))
-    t = tix.select("command_id", "review_id", F.col(at).alias("at"),
-                   F.array(
-                       F.struct(F.lit(1).alias("seq"),
-                                F.concat(F.lit(CREATING_TICKET), F.col("review_id").cast("string"))
-                                .alias("body")),
-                       F.struct(F.lit(2).alias("seq"), created_ticket.alias("body"))).alias("m"))
-    i = iss.select("command_id", "review_id", F.col(at).alias("at"),
-                   F.array(
-                       F.struct(F.lit(3).alias("seq"),
-                                F.concat(F.lit(CREATING_ISSUE), F.col("review_id").cast("string"))
-                                .alias("body")),
-                       F.struct(F.lit(4).alias("seq"),
-                                F.concat(F.lit("Created issue: <"), F.col("issue_id"),
-                                         F.lit("> and it is categorized as "), cat)
-                                .alias("body"))).alias("m"))
-    both = t.unionByName(i).select("command_id", "review_id", "at", F.explode("m").alias("m"))
-    return both.select(
-        "command_id", "review_id", F.col("m.seq").cast("bigint").alias("seq"),
-        F.col("m.body").alias("body"),
-        F.lit("text").alias("body_type"), F.lit("internal").alias("visibility"),
-        F.col("at").alias("posted_at"),
-        (F.col("at") + F.make_interval(mins=F.lit(MESSAGE_LIFETIME_MINUTES)))
-        .alias("expires_at"))
-
-
 def ticket_messages(rows: DataFrame, at: str = "created_at") -> DataFrame:
     """PRJ-11 / SNK-3 / SNK-5 in one pass over ticket rows (``ticket_id``,
     ``category``, ``needs_issue``): the two ticket messages, plus the two
     issue messages when an issue is due — one explode, no union of
     branches, so the rows are computed once."""
     cat = F.col("category")
-    created_ticket = F.when(
-        cat != FAILED_CATEGORY,
-        F.concat(F.lit("Created ticket: <"), F.col("ticket_id"),
-                 F.lit("> and it is categorized as "), cat)
-    ).otherwise(F.concat(F.lit("Created ticket: <"), F.col("ticket_id"),
-                         F.lit("> and it failed to be categorized")))
+    created_ticket = F.when(cat != FAILED_CATEGORY, filled(CREATED_TICKET, F.col("ticket_id"), cat)
+                            ).otherwise(filled(CREATED_TICKET_FAILED, F.col("ticket_id")))
     issue_id = ticket_id(F.col("command_id"), F.col("review_id"), "issue")
     rid = F.col("review_id").cast("string")
     need = F.col("needs_issue")
     entries = F.array(
-        F.struct(F.lit(1).alias("seq"), F.concat(F.lit(CREATING_TICKET), rid).alias("body")),
+        F.struct(F.lit(1).alias("seq"), filled(CREATING_TICKET, rid).alias("body")),
         F.struct(F.lit(2).alias("seq"), created_ticket.alias("body")),
         F.struct(F.lit(3).alias("seq"),
-                 F.when(need, F.concat(F.lit(CREATING_ISSUE), rid)).alias("body")),
+                 F.when(need, filled(CREATING_ISSUE, rid)).alias("body")),
         F.struct(F.lit(4).alias("seq"),
-                 F.when(need, F.concat(F.lit("Created issue: <"), issue_id,
-                                       F.lit("> and it is categorized as "), cat)).alias("body")))
+                 F.when(need, filled(CREATED_ISSUE, issue_id, cat)).alias("body")))
     m = rows.select("command_id", "review_id", F.col(at).alias("at"), F.explode(entries).alias("m"))
     return m.where(F.col("m.body").isNotNull()).select(
         "command_id", "review_id", F.col("m.seq").cast("bigint").alias("seq"),
@@ -239,8 +211,3 @@ def ticket_messages(rows: DataFrame, at: str = "created_at") -> DataFrame:
 def active_messages(messages: DataFrame, now: Column) -> DataFrame:
     """STR-3 reader view: messages not yet expired at ``now``."""
     return messages.where(F.col("expires_at") > now)
-
-
-def iso_expiry(messages: DataFrame) -> DataFrame:
-    """SCA-13: ``expires_at`` as ``Date.toISOString()`` text."""
-    return messages.withColumn("expires_at_iso", iso_utc(F.col("expires_at")))

@@ -22,7 +22,7 @@ from voxsift.operators.classify import (categorize_by_rules, noise_filter,
 from voxsift.operators.commands import STORE, parse_commands, route
 from voxsift.operators.dedup import (exact_groups, exact_membership, leader_context,
                                      replay_duplicates)
-from voxsift.operators.fetch import (build_pages, explode_pages, normalize_sources, page_log,
+from voxsift.operators.fetch import (PAGE_SIZE, build_pages, explode_pages, normalize_sources, page_log,
                                      search_posts, social_posts, top_n, with_order_key)
 from voxsift.operators.model import (RELEVANCE_TEMPLATE, model_map, prompts,
                                      replay_replies, token_count_model)
@@ -111,10 +111,10 @@ def _max_fetch(cmds: DataFrame) -> int:
     return int(cmds.agg(F.max("fetch_n")).first()[0] or 0)
 
 
-def _search(spark, d, mode, cut=True, with_commands=False):
+def _search(spark, d, mode, page_size=1, with_commands=False):
     cmds = _search_commands(spark, d, mode)
     posts = social_posts(_reviews(spark, d))
-    found = search_posts(posts, cmds, mode, _max_fetch(cmds), cut=cut)
+    found = search_posts(posts, cmds, mode, _max_fetch(cmds), page_size, tables.SEARCH_FROM)
     return (found, cmds) if with_commands else found
 
 
@@ -129,11 +129,15 @@ def hashtag_search(spark, d):
 
 
 def page_log_q(spark, d):
-    return page_log(_search(spark, d, "search"))
+    return page_log(_search(spark, d, "search"), start_date=tables.SEARCH_FROM)
+
+
+def page_log_hashtag(spark, d):
+    return page_log(_search(spark, d, "hashtag"), mode="hashtag")
 
 
 def page_explode(spark, d):
-    offered, cmds = _search(spark, d, "search", cut=False, with_commands=True)
+    offered, cmds = _search(spark, d, "search", page_size=PAGE_SIZE, with_commands=True)
     # The wanted counts come from the (checkpointed) commands, not from a
     # second pass over the offered rows; the join to pages keeps only
     # commands that were offered something.
@@ -314,6 +318,7 @@ def _registry() -> dict[str, Query]:
         "mention_search": mention_search,
         "hashtag_search": hashtag_search,
         "page_log": page_log_q,
+        "page_log_hashtag": page_log_hashtag,
         "page_explode": page_explode,
         "work_list_first": work_list_first,
         "reply_parse": reply_parse,

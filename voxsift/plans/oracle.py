@@ -16,7 +16,7 @@ from voxsift.operators.classify import (CATEGORY_RULES, RELEVANCE_RULES,
 from voxsift.operators.model import LOCAL_MODEL_MIN_TOKENS, RELEVANCE_TEMPLATE
 from voxsift.operators.tickets import SOCIAL_HELP, STORE_HELP
 from voxsift.sources.tables import (DEFAULT_OWNER_ID, DEFAULT_PART_ID, ROUTES,
-                                    SOCIAL_DEFAULT_ARGS, SOCIAL_START_DATE, STORE_DEFAULT_ARGS,
+                                    SEARCH_FROM, SOCIAL_DEFAULT_ARGS, STORE_DEFAULT_ARGS,
                                     TAG_NAMES)
 
 
@@ -269,7 +269,7 @@ TAGGED_POSTS = """posts AS (SELECT review_id, app_id, language, votes, created_a
 def search_cte(mode: str) -> str:
     sigil = "@" if mode == "search" else "#"
     pattern = TAG_PATTERN.replace("([@#])", "[" + sigil + "]")
-    where = (f"WHERE language = 'en' AND created_at >= TIMESTAMP '{SOCIAL_START_DATE}'"
+    where = (f"WHERE language = 'en' AND created_at >= TIMESTAMP '{SEARCH_FROM}'"
              if mode == "search" else "")
     return f"""{TAGGED_POSTS},
 tagged AS (SELECT DISTINCT review_id, votes, lower(m) AS term FROM
@@ -281,7 +281,7 @@ cmds AS (SELECT command_id, lower(term) AS term, fetch_n FROM parsed
          WHERE mode = '{mode}' AND fetch_n > 0),
 offered AS (SELECT c.command_id, c.fetch_n, c.term, r.review_id, r.rank FROM cmds c
             JOIN ranked r ON c.term = r.term
-            WHERE r.rank <= (SELECT max(fetch_n) FROM cmds)),
+            WHERE r.rank <= ceil(c.fetch_n / 20.0) * 20),
 fetched AS (SELECT * FROM offered WHERE rank <= fetch_n)"""
 
 
@@ -318,7 +318,7 @@ tix AS (SELECT o.command_id, o.review_id, o.source, o.url,
     o.category, g.total_reviews, g.total_votes
   FROM ok o JOIN grp g ON o.review_id = g.leader_id),
 need AS (SELECT t.review_id, o.text FROM tix t JOIN ok o USING (review_id)
-         WHERE t.severity <> 'blocker'),
+         WHERE t.severity <> 'blocker' AND t.source = {store}),
 {summary_cte('need', 'isum', 3, 2)},
 iss AS (SELECT t.command_id, t.review_id,
     {sha("'issue'", 't.command_id', 'CAST(t.review_id AS VARCHAR)')} AS issue_id, t.ticket_id,
@@ -327,7 +327,7 @@ iss AS (SELECT t.command_id, t.review_id,
     CASE WHEN t.source = {store} THEN i.summary || chr(10) || t.url ELSE t.body END AS body,
     CASE WHEN t.severity = 'low' THEN 'p3' WHEN t.severity = 'medium' THEN 'p2' ELSE 'p1' END
       AS priority, t.category
-  FROM tix t JOIN isum i USING (review_id))"""
+  FROM tix t LEFT JOIN isum i USING (review_id) WHERE t.severity <> 'blocker')"""
 
 
 def ticket_rows_cte() -> str:
@@ -385,19 +385,22 @@ def oracle_sql() -> dict[str, str]:
                              body="""SELECT command_id, review_id, CAST(rank AS BIGINT) AS rank
                              FROM fetched""")
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    q["page_log"] = _q(REVIEWS, COMMAND_EVENTS, parsed_cte(), search_cte("search"), f"""pages AS (
+    search_url = ("'https://social.example/search/search?query=%40' || term || "
+                  f"'&section=top&language=en&start_date={SEARCH_FROM}'")
+    hashtag_url = "'https://social.example/hashtag/hashtag?hashtag=%23' || term"
+    for name, mode, request in (("page_log", "search", search_url), ("page_log_hashtag", "hashtag", hashtag_url)):
+        q[name] = _q(REVIEWS, COMMAND_EVENTS, parsed_cte(), search_cte(mode), f"""pages AS (
         SELECT command_id, CAST(ceil(rank / 20) AS BIGINT) AS page_no, count(*) AS rows_in_page,
                max(fetch_n) AS fetch_n, max(term) AS term FROM fetched GROUP BY 1, 2),
         pl AS (SELECT *, coalesce(sum(rows_in_page) OVER (PARTITION BY command_id ORDER BY page_no
                {before}), 0) AS seen_before,
                sum(rows_in_page) OVER (PARTITION BY command_id ORDER BY page_no
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen_after FROM pages)""",
-                       body="""SELECT command_id, page_no, CAST(rows_in_page AS BIGINT) AS rows_in_page,
+                       body=f"""SELECT command_id, page_no, CAST(rows_in_page AS BIGINT) AS rows_in_page,
         CAST(seen_before AS BIGINT) AS seen_before,
         CAST(least(20, fetch_n - seen_before) AS BIGINT) AS page_limit,
         CAST(seen_after AS BIGINT) AS seen_after,
-        'https://social.example/search/search?query=%40' || term
-          || '&section=top&language=en&start_date=2022-01-01'
+        {request}
           || CASE WHEN page_no > 1 THEN '&continuation_token=' || CAST(command_id AS VARCHAR)
                || ':' || CAST(page_no AS VARCHAR) ELSE '' END
           || '&limit=' || CAST(least(20, fetch_n - seen_before) AS VARCHAR) AS request_url

@@ -120,6 +120,9 @@ DEFAULT_OWNER_ID = "owner:default"
 SOCIAL_DEFAULT_ARGS = "search blinkiteng 10"
 SOCIAL_START_DATE = "2022-01-01"
 STORE_DEFAULT_ARGS = "10"
+# The search start date of the registered queries: inside the events' span,
+# so that the filter drops rows.
+SEARCH_FROM = "2024-01-02"
 
 CONFIG_SCHEMA = T.StructType([
     T.StructField("app_id", T.StringType()),
