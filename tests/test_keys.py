@@ -76,3 +76,14 @@ def test_page_error_policy(spark):
         pages, wanted, on_error=policy, failed="failed").groupBy("command_id").count().collect()}
     assert count("partial") == {1: 20, 2: 50}
     assert count("empty") == {2: 50}
+
+
+def test_bayes_learns_the_labels(spark):
+    from voxsift.operators.bayes import relevance_by_bayes
+    train = [(i, "good useful words here" if i % 3 else "junk spam noise here", bool(i % 3)) for i in range(60)]
+    df = spark.createDataFrame([*train, (99, "no label", None)], "id long, text string, relevant boolean")
+    rows = spark.createDataFrame([(1, "useful good thing"), (2, "spam spam noise"), (3, None), (4, "")],
+                                 "id long, text string")
+    got = {r.id: r for r in relevance_by_bayes(rows, df, "id").collect()}
+    assert got[1].relevant and not got[2].relevant and len(got) == 4
+    assert got[3].bayes_score == got[4].bayes_score

@@ -305,7 +305,7 @@ def model_map_udf(spark, d):
 
 
 def _registry() -> dict[str, Query]:
-    from voxsift.operators import neardup, ml
+    from voxsift.operators import bayes, ml, neardup
     from voxsift.streaming import triage_stream
     return {
         "topn_helpful": topn_helpful,
@@ -324,6 +324,7 @@ def _registry() -> dict[str, Query]:
         "reply_parse": reply_parse,
         "relevance_rules": relevance_rules,
         "relevance_ml": ml.relevance_ml_query,
+        "relevance_bayes": bayes.relevance_bayes_query,
         "category_rules": category_rules,
         "category_ml": ml.category_ml_query,
         "severity_tickets": severity_tickets,
