@@ -2,16 +2,28 @@
 
 import random
 import re
+import zlib
 
 import pytest
-import xxhash
 
 from voxsift.llm import spans
 
 
 def version(text):
-    h = xxhash.xxh64_intdigest(text.encode(), 42)
-    return h - (1 << 64) if h >> 63 else h
+    """Rows of one id are ordered by the text's murmur3 hash."""
+    return VERSIONS[text]
+
+
+VERSIONS: dict = {}
+
+
+def parts_of(text, a, b):
+    """A long sentence is cut after words whose crc32 is divisible by 6."""
+    words = [(m.start() + a, m.end() + a) for m in re.finditer(r"\S+", text[a:b])]
+    if len(words) <= 18:
+        return [(a, b)]
+    ends = [e for s, e in words[:-1] if zlib.crc32(text[s:e].lower().encode()) % 6 == 0]
+    return list(zip([a, *ends], [*ends, b]))
 
 
 def brute(rows, min_sentences=2, min_words=20):
@@ -23,6 +35,7 @@ def brute(rows, min_sentences=2, min_words=20):
             pieces.append((at, m.end()))
             at = m.end()
         pieces.append((at, len(text or "")))
+        pieces = [x for a, b in pieces for x in parts_of(text or "", a, b)]
         pieces = [(a, b, " ".join((text or "")[a:b].lower().split())) for a, b in pieces if (text or "")[a:b].split()]
         runs = []
         for i in range(len(pieces)):
@@ -67,6 +80,7 @@ def corpus(n=150):
 
 def compare(spark, rows, parts):
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id bigint, text string, place int, id string")
+    VERSIONS.update({r.text: r.h for r in df.selectExpr("text", "hash(text) AS h").collect()})
     got = spans.remove_repeats(df.repartition(parts)).collect()
     found = sorted(((r.doc_id, r.n_sentences, r.n_removed, None if r.text is None else re.sub(r"\s", "", r.text))
                     for r in got), key=str)
@@ -106,6 +120,17 @@ def test_long_passage_inside_unlike_documents(spark):
             assert got[i].text == text
 
 
+def test_passage_without_marks(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("klmnopqr") for _ in range(5))
+    passages = [" ".join(word() for _ in range(60)) for _ in range(20)]
+    rows = [(k * 100 + i, " ".join([*(word() for _ in range(40)), p, *(word() for _ in range(40))]))
+            for k, p in enumerate(passages) for i in range(2)]
+    got = {r.doc_id: r.n_removed for r in spans.remove_repeats(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[k * 100] == 0 for k in range(20)) and sum(got[k * 100 + 1] > 0 for k in range(20)) >= 17
+
+
 def test_very_long_text_and_empty_table(spark):
     rng = random.Random(2)
     long = ", ".join(" ".join(str(rng.random()) for _ in range(8)) for _ in range(8000))

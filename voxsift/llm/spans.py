@@ -1,9 +1,11 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences at line ends and after sentence and clause marks
-that a blank follows.  Every run of consecutive sentences, from each sentence
+that a blank follows; a sentence of over ``LONG_WORDS`` words is also cut after
+each word whose hash is divisible by ``LONG_CUT``, so that a passage without
+marks has parts too, and the same ones in every document.  Every run of consecutive sentences, from each sentence
 on, that first holds at least ``min_sentences`` sentences and ``min_words``
-words is hashed (128 bits, lower case, blanks alike).  Where a run ends
+words is hashed (96 bits, lower case, blanks alike).  Where a run ends
 depends on its own sentences only, so a shared passage has the same runs in
 every document.  Equal runs are joined over the whole corpus, and sentences
 that lie in any but the first occurrence (smallest id, then place) of a run
@@ -33,7 +35,10 @@ from .common import col, shuffle_partitions, slices
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
+LONG_WORDS = 18
+LONG_CUT = 6
 SLICE_BYTES = 4 << 20
+WORD = re.compile(r"\S+")
 CUT = re.compile(r"[.!?;:,](?=\s)|\n")
 
 
@@ -42,17 +47,30 @@ CUT = re.compile(r"[.!?;:,](?=\s)|\n")
 def sentences_of(text):
     """(spans, number of words, digest) of the sentences that have words;
     the spans tile the text but for blank sentences."""
+    from zlib import crc32
+
     from xxhash import xxh3_128_digest
 
     spans, sizes, digests = [], [], []
+
+    def add(start, end, words):
+        spans.append((start, end))
+        sizes.append(len(words))
+        digests.append(xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
+
     start = 0
     ends = [m.end() for m in CUT.finditer(text)]
     for end in (*ends, len(text)):
         words = text[start:end].lower().split()
+        if len(words) > LONG_WORDS:
+            first = 0
+            for i, m in enumerate(WORD.finditer(text, start, end)):
+                if i < len(words) - 1 and crc32(words[i].encode("utf-8", "surrogatepass")) % LONG_CUT == 0:
+                    add(start, m.end(), words[first:i + 1])
+                    start, first = m.end(), i + 1
+            words = words[first:]
         if words:
-            spans.append((start, end))
-            sizes.append(len(words))
-            digests.append(xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
+            add(start, end, words)
         start = end
     return spans, sizes, digests
 
@@ -108,7 +126,7 @@ def document_codes(ids, versions):
 
 def _versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
-    return rows.withColumn("version", F.xxhash64("text"))
+    return rows.withColumn("version", F.hash("text"))
 
 
 def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -143,7 +161,8 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         digests.append(digest)
                 if not owner:
                     continue
-                hashes = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                hashes = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).copy()
+                hashes[:, 1] &= 0x7FFFFFFF
                 owner = np.array(owner)
                 place = np.array(place)
                 # equal rows of one id are one document
@@ -160,7 +179,7 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 # marked rows are dealt by their own place, not by the hash
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.where(first, hashes[:, 0], owner * 7919 + place)),
-                    pa.array(hashes[:, 1]), pa.array(first), ids.take(pa.array(owner)),
+                    pa.array(hashes[:, 1].astype(np.int32)), pa.array(first), ids.take(pa.array(owner)),
                     versions.take(pa.array(owner)), pa.array(place)],
                     names=["h1", "h2", "open", "id", "version", "place"])
 
@@ -197,10 +216,10 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [ids.take(pa.array(out)), pa.array(version[out]), pa.array(place[out])],
                 names=["id", "version", "place"])
 
-    found = src.mapInArrow(runs, f"h1 bigint, h2 bigint, open boolean, id {kind}, version bigint, place bigint")
+    found = src.mapInArrow(runs, f"h1 bigint, h2 int, open boolean, id {kind}, version int, place bigint")
     dealt = found.repartition(shuffle_partitions(docs.sparkSession), "h1")
     ordered = dealt.sortWithinPartitions("open", "h1", "h2", F.col("id").asc_nulls_last(), "version", "place")
-    return ordered.mapInArrow(later, f"id {kind}, version bigint, place bigint")
+    return ordered.mapInArrow(later, f"id {kind}, version int, place bigint")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
