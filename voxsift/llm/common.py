@@ -77,3 +77,11 @@ def bounded_sample(df: DataFrame, most: int, *by: Column) -> DataFrame:
         return df.limit(most)
     share = int(0.95 * most / total * (1 << 30))
     return df.where(F.pmod(F.xxhash64(*by), F.lit(1 << 30)) < share).limit(most)
+
+
+def release() -> None:
+    """Give Arrow memory that a task no longer uses back to the system:
+    idle Python workers stay on an executor and would keep it."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()

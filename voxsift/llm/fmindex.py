@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import col, slices
 
 WINDOW_WORDS = 10
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 16 << 20
 SAMPLE = 8
 

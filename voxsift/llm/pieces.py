@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from .common import col, slices
+from .common import col, release, slices
 
-SLICE_BYTES = 4 << 20
-MEMO_CHUNKS = 400_000
+SLICE_BYTES = 2 << 20
+MEMO_CHUNKS = 300_000
 BLANK = "▁"
 # Fixed values of the model file: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -145,8 +145,8 @@ class Codec:
         self.filter[hashed] = True
         self.strange = np.array([k not in (NORMAL, UNUSED) for k in self.kinds])
         self.digits = [str(i) for i in range(len(self.pieces))]
-        self.texts = [p.replace(BLANK, " ") for p in self.pieces]
-        self.memo: dict[str, tuple[int, str, str]] = {}
+        self.memo: dict[str, str] = {}  # ids of a chunk, joined by commas
+        self.other_text: dict[str, str] = {}  # decoded chunks that are not their own text
 
     def _hash(self, keys):
         import numpy as np
@@ -334,6 +334,7 @@ class Codec:
             return
         if len(self.memo) + len(new) > MEMO_CHUNKS:
             self.memo.clear()
+            self.other_text.clear()
             new = list(set(chunks))
         import numpy as np
 
@@ -342,13 +343,24 @@ class Codec:
         strange = np.concatenate([[0], np.cumsum(self.strange[symbols])])
         plain = strange[ends] == strange[ends - counts]
         flat, start = symbols.tolist(), 0
-        digits, texts, memo = self.digits, self.texts, self.memo
+        digits, pieces, memo = self.digits, self.pieces, self.memo
         for chunk, end, fast in zip(new, ends.tolist(), plain.tolist()):
             ids = flat[start:end]
-            text = "".join([texts[i] for i in ids]) if fast else self.decode_middle(ids)
-            memo[chunk] = (end - start, ",".join([digits[i] for i in ids]), text)
+            memo[chunk] = ",".join([digits[i] for i in ids])
+            # what the ids decode to, kept where it is not the chunk itself
+            text = "".join([pieces[i] for i in ids]) if fast else self.decode_middle(ids)
+            if text != chunk:
+                self.other_text[chunk] = text
             start = end
 
+    def coded(self, chunks) -> tuple[str, str]:
+        """The ids of a text's chunks, joined by commas, and the text that
+        they decode to."""
+        ids = ",".join([self.memo[c] for c in chunks])
+        text = "".join([self.other_text.get(c, c) for c in chunks]).replace(BLANK, " ")
+        # the dummy prefix is no part of the text
+        return ids, text[1:] if self.prefix and text[:1] == " " else text
+
     def decode_middle(self, ids) -> str:
         """The text of a chunk's ids that are not the first of a text."""
         text = self.decode([self.unknown, *ids])
@@ -397,14 +409,9 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 part = batch.slice(start, stop - start)
                 texts = [codec.chunks_of(t) for t in part.column(0).to_pylist()]
                 codec.learn_chunks([c for chunks in texts for c in chunks])
-                n, ids, decoded = [], [], []
-                for chunks in texts:
-                    found = [codec.memo[c] for c in chunks]
-                    n.append(sum(x[0] for x in found))
-                    ids.append(",".join([x[1] for x in found]))
-                    text = "".join([x[2] for x in found])
-                    # the dummy prefix is no part of the text
-                    decoded.append(text[1:] if codec.prefix and text[:1] == " " else text)
+                both = [codec.coded(chunks) for chunks in texts]
+                ids, decoded = [x for x, _ in both], [x for _, x in both]
+                n = [x.count(",") + 1 if x else 0 for x in ids]
                 if digest:
                     a = pa.array([sha256(x.encode()).hexdigest() for x in ids])
                     b = pa.array([sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in decoded])
@@ -413,6 +420,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     b = pa.array(decoded, pa.string())
                 arrays = [*part.columns[1:], pa.array(n, pa.int64()), a, b]
                 yield pa.RecordBatch.from_arrays(arrays, names=[str(i) for i in range(len(arrays))])
+            release()
 
     kinds = [f.dataType.simpleString() for f in src.schema.fields[1:]]
     kinds += ["bigint", "string", "string"] if digest else ["bigint", "array<int>", "string"]

@@ -33,12 +33,12 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, cut, shuffle_partitions, slices
+from .common import col, cut, release, shuffle_partitions, slices
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 # -- inside tasks ---------------------------------------------------------
@@ -190,6 +190,7 @@ def fingerprint(docs: DataFrame, keep: dict[str, str], text_col: str = "text", f
                 fps = fingerprints_of(part.column(0).to_pylist(), shingle_words, seed)
                 arrays = [*part.columns[1:], pa.array(fps.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[str(i) for i in range(len(arrays))])
+            release()
 
     kinds = [f.dataType.simpleString() for f in src.schema.fields[1:]] + ["bigint"]
     out = src.mapInArrow(run, ", ".join(f"`{i}` {k}" for i, k in enumerate(kinds)))
