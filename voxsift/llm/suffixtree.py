@@ -20,8 +20,7 @@ Everything is counted over all training documents and nothing is broadcast:
   directly.  Grams become rows, from which joins and windows over the levels
   of the tree (a context has at most 256 next symbols, so no group is large)
   compute each gram's probability; the buckets then answer the blocks;
-* a block scores its documents by the answers, which stand in the order of
-  its keys.
+* a block scores its documents by the answers, which come with its keys.
 
 Defined results: null and blank texts are the end mark alone; rows without an
 id may be scored and train as the caller says; repeated rows count and are
@@ -42,8 +41,8 @@ from .common import col, cut, shuffle_partitions, slices
 DEPTH = 5
 MASS = 4.0
 MIN_DIVERGENCE = 4.0
-BLOCK_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20
 END = 10  # the end mark's byte; no word holds it
 WORD, GRAM = 0, 1
 
@@ -233,7 +232,7 @@ def packed_blocks(docs: DataFrame, held_out: Column, id_col: str, text_col: str,
         import pyarrow as pa
 
         for batch in batches:
-            for start, stop in slices(batch, 2, 4 * SLICE_BYTES):
+            for start, stop in slices(batch, 2, 8 * SLICE_BYTES):
                 part = pa.Table.from_batches([batch.slice(start, stop - start)])
                 block = np.asarray(part.column("block"))
                 rows = part.drop_columns(["block"])
@@ -277,31 +276,35 @@ def _all_keys(table):
     return rows, keys, counts
 
 
-ANSWER = "block bigint, kind int, bucket bigint, n bigint, answers binary, tokens bigint, types bigint"
+ANSWER = "block bigint, kind int, n bigint, keys binary, answers binary, tokens bigint, types bigint"
+
+
+def answer_rows(rows):
+    import pyarrow as pa
+
+    return pa.Table.from_pylist(rows, schema=pa.schema([
+        ("block", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("keys", pa.binary()),
+        ("answers", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())]))
 
 
 def word_answers(keys: DataFrame) -> DataFrame:
-    """For each block and bucket, the training counts of its words in the
-    order of its keys; one more row (block -1) for each bucket holds the
-    number of its training words, all and distinct."""
+    """For each block and bucket, its words with their training counts; one
+    more row (block -1) for each bucket holds the number of its training
+    words, all and distinct."""
     def answer(table):
         import numpy as np
-        import pyarrow as pa
 
         rows, keys, counts = _all_keys(table)
         distinct, total = merged(keys, counts)
-        bucket = table.column("bucket")[0].as_py()
-        out = [{"block": -1, "kind": WORD, "bucket": bucket, "n": 0, "answers": b"",
+        out = [{"block": -1, "kind": WORD, "n": 0, "keys": b"", "answers": b"",
                 "tokens": int(total.sum()), "types": int((total > 0).sum())}]
         found = total[np.searchsorted(distinct, keys)]
         at = 0
-        for block, n, _, _ in rows:
-            out.append({"block": block, "kind": WORD, "bucket": bucket, "n": n,
+        for block, n, own, _ in rows:
+            out.append({"block": block, "kind": WORD, "n": n, "keys": own,
                         "answers": packed(found[at:at + n]), "tokens": 0, "types": 0})
             at += n
-        return pa.Table.from_pylist(out, schema=pa.schema([
-            ("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()), ("n", pa.int64()),
-            ("answers", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())]))
+        return answer_rows(out)
 
     return keys.where(F.col("kind") == WORD).groupBy("bucket").applyInArrow(answer, ANSWER)
 
@@ -343,32 +346,29 @@ def tree(grams: DataFrame, mass: float = MASS, min_divergence: float = MIN_DIVER
 
 
 def gram_answers(keys: DataFrame, model: DataFrame, n_buckets: int) -> DataFrame:
-    """For each block and bucket, log10 probabilities in the order of its
-    keys (the bits of doubles)."""
+    """For each block and bucket, its grams with their log10 probabilities
+    (the bits of doubles)."""
     def answer(left, right):
         import numpy as np
-        import pyarrow as pa
 
-        schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()),
-                            ("n", pa.int64()), ("answers", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
         if not left.num_rows:
-            return pa.Table.from_pylist([], schema=schema)
+            return answer_rows([])
         grams = np.asarray(right.column("g")).astype(np.uint64)
         order = np.argsort(grams)
         grams, logs = grams[order], np.log10(np.asarray(right.column("p")))[order]
         out = []
-        for block, bucket, n, keys in zip(*(left.column(c).to_pylist() for c in ("block", "bucket", "n", "keys"))):
+        for block, n, keys in zip(*(left.column(c).to_pylist() for c in ("block", "n", "keys"))):
             found = logs[np.searchsorted(grams, unpacked(keys, n))]
-            out.append({"block": block, "kind": GRAM, "bucket": bucket, "n": n,
+            out.append({"block": block, "kind": GRAM, "n": n, "keys": keys,
                         "answers": packed(found.astype("<f4").astype("<f8").view("<u8")), "tokens": 0, "types": 0})
-        return pa.Table.from_pylist(out, schema=schema)
+        return answer_rows(out)
 
     left = keys.where(F.col("kind") == GRAM).select("bucket", "block", "n", "keys")
     right = model.select(F.pmod("g", F.lit(n_buckets)).alias("bucket"), "g", "p")
     return left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(answer, ANSWER)
 
 
-def scored(blocks: DataFrame, answers: DataFrame, id_kind: str, n_buckets: int) -> DataFrame:
+def scored(blocks: DataFrame, answers: DataFrame, id_kind: str) -> DataFrame:
     """(id, held, n_tokens, n_known, known_log, score) of every document."""
     def of_block(left, right):
         import numpy as np
@@ -377,21 +377,21 @@ def scored(blocks: DataFrame, answers: DataFrame, id_kind: str, n_buckets: int)
         ids, held, n_tokens, n_known, known_log, score = [], [], [], [], [], []
         if left.num_rows:
             data = [x.as_py() for x in left.column("rows")]
-            words, _, grams, _ = block_keys(data)
-            values = {}
-            for kind, keys, dtype in ((WORD, words, "<u8"), (GRAM, grams, "<f8")):
-                mine = sorted((b, n, a) for k, b, n, a in zip(*(
-                    right.column(c).to_pylist() for c in ("kind", "bucket", "n", "answers"))) if k == kind)
-                order, _ = dealt(keys, n_buckets)
-                value = np.empty(len(keys), dtype)
-                value[order] = np.concatenate([unpacked(a, n, dtype) for _, n, a in mine])
-                values[kind] = value
-            by_gram, by_word = Lookup(grams), {}
+            known = {}
+            for kind, dtype in ((WORD, "<u8"), (GRAM, "<f8")):
+                mine = right.filter(pa.array(np.asarray(right.column("kind")) == kind))
+                rows = list(zip(*(mine.column(c).to_pylist() for c in ("n", "keys", "answers"))))
+                keys = np.concatenate([unpacked(k, n) for n, k, _ in rows])
+                order = np.argsort(keys)
+                known[kind] = keys[order], np.concatenate([unpacked(a, n, dtype) for n, _, a in rows])[order]
+            del mine, rows, keys, order
+            words, word_counts = known[WORD]
+            by_gram, gram_logs, by_word = Lookup(known[GRAM][0]), known[GRAM][1], {}
             for packed_ in data:
                 rows = unpacked_rows(packed_)
                 texts = list(map(words_of, rows.column("text").to_pylist()))
                 new = list(set().union(*texts, (b"\n",)).difference(by_word))
-                found = values[WORD][np.searchsorted(words, word_keys(new))]
+                found = word_counts[np.searchsorted(words, word_keys(new))]
                 by_word.update(zip(new, found.tolist()))
                 sizes = np.array([len(t) + 1 for t in texts])
                 starts = np.cumsum(sizes) - sizes
@@ -401,7 +401,7 @@ def scored(blocks: DataFrame, answers: DataFrame, id_kind: str, n_buckets: int)
                 n_known.append(np.add.reduceat((counts > 0).astype(np.int64), starts))
                 known_log.append(np.add.reduceat(np.log10(counts + 1.0), starts))
                 codes, symbols = grams_of(texts)
-                logs = values[GRAM][by_gram.places(codes)]
+                logs = gram_logs[by_gram.places(codes)]
                 score.append(np.add.reduceat(logs, np.cumsum(symbols) - symbols))
                 ids.append(rows.column("id").combine_chunks())
                 held.append(rows.column("held").combine_chunks())
@@ -433,7 +433,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     n, types = totals[0] or 0, totals[1] or 0
     model = tree(cut(gram_counts(keys)), mass, min_divergence)
     answers = words.where("block >= 0").unionByName(gram_answers(keys, model, n_buckets))
-    found = scored(blocks, answers, docs.select(col(id_col)).schema[0].dataType.simpleString(), n_buckets)
+    found = scored(blocks, answers, docs.select(col(id_col)).schema[0].dataType.simpleString())
     return found.select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("bigint").alias("train_tokens"),
