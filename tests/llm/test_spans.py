@@ -138,3 +138,63 @@ def test_very_long_text_and_empty_table(spark):
     got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[1].n_removed == 0 and got[2].n_removed == 8000
     assert spans.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def brute_cuts(words):
+    """Winnowing: the last smallest hash of every window of 11 words."""
+    hashes = [zlib.crc32(w.encode()) for w in words]
+    windows = [range(i, i + 11) for i in range(len(words) - 10)]
+    return sorted({min(w, key=lambda i: (hashes[i], -i)) for w in windows})
+
+
+def test_long_cuts_against_brute_force():
+    rng = random.Random(5)
+    for n in [*range(14), *range(16, 400, 7)]:
+        words = [rng.choice("abcdefghijklmnop") * rng.randrange(1, 4) for _ in range(n)]
+        assert spans.long_cuts(words) == brute_cuts(words)
+    assert all(size <= 15 for size in spans.sentences_of("a " * 500)[1])
+    for text in ("a " * 500, " ".join(str(rng.random()) for _ in range(500))):
+        pieces, sizes, _ = spans.sentences_of(text)
+        assert sum(sizes) == 500 and max(sizes) <= 15
+        assert [a for a, _ in pieces] == [0, *(b for _, b in pieces[:-1])]
+
+
+def test_runs_against_brute_force():
+    rng = random.Random(6)
+    for _ in range(300):
+        sizes = [rng.randrange(1, 12) for _ in range(rng.randrange(14))]
+        digests = [bytes([i]) * 16 for i in range(len(sizes))]
+        full = lambda i, j: j - i >= 2 and sum(sizes[i:j]) >= 20
+        every = [(i, j) for i in range(len(sizes)) for j in range(i + 1, len(sizes) + 1) if full(i, j)]
+        heads = {(i, j) for i, j in every if not full(i, j - 1)}
+        tails = {(i, j) for i, j in every if not full(i + 1, j)}
+        for both, expected in ((False, heads), (True, heads | tails)):
+            got = [(i, i + n) for i, n, _ in spans.runs_of(sizes, digests, 2, 20, both)]
+            assert len(got) == len(set(got)) and set(got) == expected
+
+
+@pytest.mark.parametrize("marks", [0.0, 0.05, 0.15])
+def test_every_passage_of_over_fifty_words(spark, marks):
+    """200 passages in two unlike documents each: none is missed, and each
+    end keeps 15 words at most."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("klmnopqr") for _ in range(5)) + (
+        rng.choice(".,;") if rng.random() < marks else "")
+    lines = lambda n: " ".join(word() for _ in range(n))
+    rows, places = [], {}
+    for k in range(200):
+        passage = lines(51 + k % 30)
+        for i in range(2):
+            head = lines(rng.randrange(5, 60)) + " "
+            places[k * 2 + i] = (len(head), len(head) + len(passage))
+            rows.append((k * 2 + i, f"{head}{passage} {lines(rng.randrange(5, 60))}"))
+    got = {r.doc_id: r.removed for r in spans.remove_repeats(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), both_ends=True).collect()}
+    texts = dict(rows)
+    for doc, (start, end) in places.items():
+        if doc % 2 == 0:
+            assert got[doc] == []
+            continue
+        (cut,) = got[doc]
+        assert start <= cut.start + 1 and cut.end <= end + 1
+        assert len(texts[doc][start:cut.start].split()) <= 15 and len(texts[doc][cut.end:end].split()) <= 15

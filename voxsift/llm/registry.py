@@ -12,7 +12,7 @@ from .common import remainder, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = spans.remove_repeats(table(spark, sf_dir, "documents"))
+    found = spans.remove_repeats(table(spark, sf_dir, "documents"), both_ends=True)
     shown = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return found.select("doc_id", "n_sentences", "n_removed", shown.alias("removed"), "text")
 

@@ -2,14 +2,18 @@
 
 A text is cut into sentences at line ends and after sentence and clause marks
 that a blank follows; a sentence of over ``LONG_WORDS`` words is also cut after
-each word whose hash is divisible by ``LONG_CUT``, so that a passage without
-marks has parts too, and the same ones in every document.  Every run of consecutive sentences, from each sentence
-on, that first holds at least ``min_sentences`` sentences and ``min_words``
-words is hashed (96 bits, lower case, blanks alike).  Where a run ends
-depends on its own sentences only, so a shared passage has the same runs in
-every document.  Equal runs are joined over the whole corpus, and sentences
-that lie in any but the first occurrence (smallest id, then place) of a run
-are removed.
+the word of the smallest hash (the last of equal ones) of each window of
+``CUT_WINDOW`` words, so no part is longer than a window.  Between the first and
+the last window that lie inside a shared passage, the cuts are the same in every
+document: each of its ends loses ``LONG_WORDS`` words at most.  Every run of
+consecutive sentences, from each sentence on, that first holds at least
+``min_sentences`` sentences and ``min_words`` words is hashed (96 bits, lower
+case, blanks alike); with ``both_ends`` also the shortest such run up to each
+sentence, so that the last sentences of a shared passage lie in a run too.
+Which runs there are depends on their own sentences only, so a shared passage
+has the same runs in every document; with the default sizes, one of over 50 words
+has a run.  Equal runs are joined over the whole corpus, and sentences that lie in
+any but the first occurrence (smallest id, then place) of a run are removed.
 
 Each slice of a task keeps the first occurrence of a run for the global join
 and marks its others at once, as they cannot be the first: a passage that a
@@ -35,8 +39,8 @@ from .common import col, shuffle_partitions, slices
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-LONG_WORDS = 18
-LONG_CUT = 6
+LONG_WORDS = 15
+CUT_WINDOW = 11
 SLICE_BYTES = 4 << 20
 WORD = re.compile(r"\S+")
 CUT = re.compile(r"[.!?;:,](?=\s)|\n")
@@ -44,11 +48,31 @@ CUT = re.compile(r"[.!?;:,](?=\s)|\n")
 
 # -- inside tasks ---------------------------------------------------------
 
+def long_cuts(words):
+    """Numbers of the words with the smallest hash of any window of
+    ``CUT_WINDOW`` words, the last of equal ones."""
+    from zlib import crc32
+
+    hashes = [crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    out, least = [], -1
+    for end in range(CUT_WINDOW, len(hashes) + 1):
+        start = end - CUT_WINDOW
+        if least < start:
+            least = start
+            for i in range(start + 1, end):
+                if hashes[i] <= hashes[least]:
+                    least = i
+        elif hashes[end - 1] <= hashes[least]:
+            least = end - 1
+        else:
+            continue
+        out.append(least)
+    return out
+
+
 def sentences_of(text):
     """(spans, number of words, digest) of the sentences that have words;
     the spans tile the text but for blank sentences."""
-    from zlib import crc32
-
     from xxhash import xxh3_128_digest
 
     spans, sizes, digests = [], [], []
@@ -64,10 +88,11 @@ def sentences_of(text):
         words = text[start:end].lower().split()
         if len(words) > LONG_WORDS:
             first = 0
-            for i, m in enumerate(WORD.finditer(text, start, end)):
-                if i < len(words) - 1 and crc32(words[i].encode("utf-8", "surrogatepass")) % LONG_CUT == 0:
-                    add(start, m.end(), words[first:i + 1])
-                    start, first = m.end(), i + 1
+            word_ends = [m.end() for m in WORD.finditer(text, start, end)]
+            for i in long_cuts(words):
+                if i < len(words) - 1:
+                    add(start, word_ends[i], words[first:i + 1])
+                    start, first = word_ends[i], i + 1
             words = words[first:]
         if words:
             add(start, end, words)
@@ -75,8 +100,8 @@ def sentences_of(text):
     return spans, sizes, digests
 
 
-def runs_of(sizes, digests, min_sentences, min_words):
-    """(first sentence, number of sentences, digest) of every run."""
+def runs_of(sizes, digests, min_sentences, min_words, both_ends=False):
+    """(first sentence, number of sentences, digest) of every run, once."""
     from xxhash import xxh3_128_digest
 
     out, last, words = [], 0, 0  # the run is [first, last)
@@ -88,6 +113,15 @@ def runs_of(sizes, digests, min_sentences, min_words):
             break
         out.append((first, last - first, xxh3_128_digest(b"".join(digests[first:last]))))
         words -= sizes[first]
+    first = words = 0
+    for last in range(len(sizes) if both_ends else 0):  # the run is [first, last]
+        words += sizes[last]
+        while words - sizes[first] >= min_words and last - first >= min_sentences:
+            words -= sizes[first]
+            first += 1
+        # if it is full without its last sentence, it is not the first full run from its start
+        if words - sizes[last] >= min_words and last - first >= min_sentences:
+            out.append((first, last - first + 1, xxh3_128_digest(b"".join(digests[first:last + 1]))))
     return out
 
 
@@ -130,7 +164,8 @@ def _versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+               min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+               both_ends: bool = False) -> DataFrame:
     """(id, version, place) of every run that is not the first of its text;
     version is the text's hash, place packs the first sentence and the number
     of sentences."""
@@ -155,7 +190,7 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     if not text:
                         continue
                     _, sizes, own = sentences_of(text)
-                    for first, size, digest in runs_of(sizes, own, min_sentences, min_words):
+                    for first, size, digest in runs_of(sizes, own, min_sentences, min_words, both_ends):
                         owner.append(i)
                         place.append(first << 24 | size)
                         digests.append(digest)
@@ -223,11 +258,12 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+                   min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+                   both_ends: bool = False) -> DataFrame:
     """One row per document: the id, ``n_sentences``, ``n_removed``,
     ``removed`` (spans in code points, end exclusive) and ``text`` without
     them (null stays null)."""
-    marks = later_runs(docs, id_col, text_col, min_sentences, min_words).groupBy(
+    marks = later_runs(docs, id_col, text_col, min_sentences, min_words, both_ends).groupBy(
         F.col("id").alias("of"), F.col("version").alias("of_version")).agg(F.collect_set("place").alias("places"))
     src = _versions(docs, id_col, text_col)
     both = src.join(marks, src.id.eqNullSafe(marks.of) & (src.version == marks.of_version), "left").select(
