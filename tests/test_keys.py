@@ -87,3 +87,24 @@ def test_bayes_learns_the_labels(spark):
     got = {r.id: r for r in relevance_by_bayes(rows, df, "id").collect()}
     assert got[1].relevant and not got[2].relevant and len(got) == 4
     assert got[3].bayes_score == got[4].bayes_score
+
+
+def test_bayes_scores_every_document(spark, sf):
+    import __spark_entry__ as entry
+    import duckdb
+    got = entry.queries()["relevance_bayes_all"](spark, sf).select(
+        "doc_id", "bayes_score", "relevant", "labelled", "held_out").collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert {r.labelled for r in got} == {True, False, None}
+    assert all(r.held_out == (r.doc_id % 5 == 0) for r in got)
+    # the same model as the query of the fold alone
+    fold = {r.doc_id: r for r in entry.queries()["relevance_bayes"](spark, sf).collect()}
+    mine = {r.doc_id: r for r in got if r.held_out and r.labelled is not None}
+    assert {k: (r.bayes_score, r.relevant, r.labelled) for k, r in mine.items()} == {
+        k: (r.bayes_score, r.relevant, r.labelled) for k, r in fold.items()}
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    rows = con.execute(entry.oracle_sql()["relevance_bayes_all"]).fetchall()
+    assert sorted(rows) == sorted(map(tuple, got))

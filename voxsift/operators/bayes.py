@@ -58,3 +58,15 @@ def relevance_bayes_query(spark, d):
     held = F.col("doc_id") % 5 == 0
     out = relevance_by_bayes(rows.where(held).select("doc_id", "text"), rows.where(~held), "doc_id")
     return out.join(rows.where(held).select("doc_id", F.col("relevant").alias("labelled")), "doc_id")
+
+
+def relevance_bayes_all_query(spark, d):
+    """Every document by the same model; ``labelled`` is null without a label,
+    ``held_out`` is true for the fold that no training row comes from."""
+    from voxsift.sources import tables
+    rows = tables.labeled_documents(spark, d)
+    held = F.col("doc_id") % 5 == 0
+    docs = tables.table(spark, d, "documents").select("doc_id", "text")
+    out = relevance_by_bayes(docs, rows.where(~held), "doc_id")
+    labels = rows.select("doc_id", F.col("relevant").alias("labelled"))
+    return out.join(labels, "doc_id", "left").withColumn("held_out", held)

@@ -325,6 +325,7 @@ def _registry() -> dict[str, Query]:
         "relevance_rules": relevance_rules,
         "relevance_ml": ml.relevance_ml_query,
         "relevance_bayes": bayes.relevance_bayes_query,
+        "relevance_bayes_all": bayes.relevance_bayes_all_query,
         "category_rules": category_rules,
         "category_ml": ml.category_ml_query,
         "severity_tickets": severity_tickets,

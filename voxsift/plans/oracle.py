@@ -459,6 +459,24 @@ def oracle_sql() -> dict[str, str]:
                   FROM lab l LEFT JOIN tok t USING (doc_id) LEFT JOIN weights w USING (tok), prior
                   WHERE l.doc_id % 5 = 0 GROUP BY 1, 2)
         SELECT doc_id, s AS bayes_score, s > 0 AS relevant, y AS labelled FROM score"""
+    q["relevance_bayes_all"] = f"""WITH lab AS (
+          SELECT l.doc_id, d.text, l.quality = 1 AS y FROM labels l JOIN documents d USING (doc_id)),
+        ltok AS (SELECT doc_id, y, unnest(list_distinct({toks('text')})) AS tok FROM lab
+                 WHERE doc_id % 5 <> 0),
+        counts AS (SELECT tok, count(*) FILTER (y) AS n1, count(*) FILTER (NOT y) AS n0 FROM ltok
+                   GROUP BY tok),
+        total AS (SELECT sum(n1) + count(*) AS t1, sum(n0) + count(*) AS t0 FROM counts),
+        weights AS (SELECT tok, CAST(floor(1000000 * ln(CAST(n1 + 1 AS DOUBLE) / t1)) AS BIGINT)
+                     - CAST(floor(1000000 * ln(CAST(n0 + 1 AS DOUBLE) / t0)) AS BIGINT) AS weight
+                    FROM counts, total),
+        prior AS (SELECT CAST(floor(1000000 * ln(CAST(count(*) FILTER (y) + 1 AS DOUBLE)
+                   / (count(*) FILTER (NOT y) + 1))) AS BIGINT) AS p FROM lab WHERE doc_id % 5 <> 0),
+        tok AS (SELECT doc_id, unnest(list_distinct({toks('text')})) AS tok FROM documents),
+        score AS (SELECT d.doc_id, CAST(coalesce(sum(w.weight), 0) + any_value(p) AS BIGINT) AS s
+                  FROM documents d LEFT JOIN tok t USING (doc_id) LEFT JOIN weights w USING (tok), prior
+                  GROUP BY 1)
+        SELECT s.doc_id, s.s AS bayes_score, s.s > 0 AS relevant, l.y AS labelled,
+               s.doc_id % 5 = 0 AS held_out FROM score s LEFT JOIN lab l USING (doc_id)"""
     q["category_rules"] = _q(REVIEWS, category_cte("reviews"), body="""SELECT review_id,
         category, category_score, tag_id FROM catt""")
     q["severity_tickets"] = _q(ticket_rows_cte(), body="""SELECT command_id, review_id, source,
