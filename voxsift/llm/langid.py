@@ -134,7 +134,8 @@ def whole_scores(texts, model):
 
 def learn(docs: DataFrame, train_rows: Column | None = None, text_col: str = "text",
           lang_col: str = "lang", max_fit_docs: int = MAX_FIT_DOCS) -> dict | None:
-    """Fit on at most ``max_fit_docs`` rows of those that ``train_rows`` holds for."""
+    """Fit on at most ``max_fit_docs`` rows of those that ``train_rows`` holds
+    for, taken by a hash; equal rows train once."""
     src = docs if train_rows is None else docs.where(train_rows)
     src = src.select(col(text_col).cast("string").alias("text"), col(lang_col).cast("string").alias("lang"))
     src = src.where("text IS NOT NULL AND lang IS NOT NULL")

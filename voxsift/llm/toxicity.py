@@ -157,9 +157,10 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
               .where("id IS NOT NULL AND y IN (0, 1)")
               .orderBy(F.xxhash64("id"), "id", "y").limit(max_fit_docs))
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).join(
-        F.broadcast(sample), "id").select("text", "y")
-    # ids may repeat in docs: the bound holds for rows too
-    return fit(sorted(((r.text or "", r.y) for r in rows.limit(2 * max_fit_docs).toLocalIterator())))
+        F.broadcast(sample), "id").select("id", "text", "y")
+    # ids may repeat in docs: the bound holds for rows too, of which copies count once
+    rows = rows.distinct().orderBy(F.xxhash64("id", "text"), "id", "text", "y").limit(2 * max_fit_docs)
+    return fit(sorted(((r.text or "", r.y) for r in rows.toLocalIterator())))
 
 
 # -- Spark plan -----------------------------------------------------------
