@@ -8,7 +8,7 @@ from voxsift.llm import registry
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in registry.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(registry.queries()) <= set(entry.queries())
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fmindex, langid, pieces, pii, quality, simhash, spans, suffixtree, toxicity
-from .common import remainder, table
+from . import (chat, fmindex, langid, merkle, packing, pieces, pii, quality, runs, simhash, spans, suffixtree,
+               toxicity, twins)
+from .common import SPACE, remainder, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +102,61 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("added").cast("bigint").alias("n_added"))
 
 
+def decimal_crc(id_col: str) -> Column:
+    """Unsigned crc32 of an id's decimal digits."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", UPPER, LOWER)
+    tampered = F.when(decimal_crc("doc_id") % 3 == 0, merkle.leaf_digest(*map(F.col, fields[:-1]), lowered))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), fields, carry={"tampered": tampered})
+    whole = F.array_join(F.transform("proof", lambda s: F.concat(s["before"], s["after"])), "")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(whole, 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
+def tokenizer_path() -> str:
+    """The public byte-level BPE that the contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                        "sequence_id", "offset")
+
+
+def repeating(text: Column, h: Column) -> Column:
+    """The contract's input: where h % 10 is 0, the words from a on repeat
+    with period p."""
+    words = F.array_remove(F.split(text, SPACE), "")
+    n, g = F.size(words), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    changed = quality.let(words, lambda w: quality.let(
+        F.struct(a.alias("a"), p.alias("p")), lambda x: F.array_join(F.transform(w, lambda word, i: F.when(
+            i < x["a"], word).otherwise(F.get(w, (x["a"] + (i - x["a"]) % x["p"]).cast("int")))), " ")))
+    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", repeating(F.col("text"), decimal_crc("doc_id")).alias("text"))
+    best = F.col("best")
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return runs.find_runs(docs).withColumn("best", runs.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(F.expr("1000 * best.length div best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP3_SQL = rf"""
@@ -166,6 +222,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_pii": op10_pii,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_packing": op12_packing,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -173,4 +232,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_formatting": OP3_SQL,
         "op9_benchmark_decontamination": OP9_SQL,
+        "op11_merkle_manifest": twins.manifest_sql(),
+        "op13_periodic_runs": twins.runs_sql(),
     }
