@@ -14,11 +14,11 @@ one slice of texts.  A window's number is made of the partition's number and a
 counter, so a retried task gives the same numbers.
 
 Ids come from the ``tokenizers`` library.  A byte-level pre-tokenizer never
-joins characters across one blank between two words, nor a plain run of letters
-and the mark after it, so a text is cut there and each distinct part is encoded
-once a slice (``Encoder``); texts with other white space beside a blank go to
-the library whole, as do all texts if the tokenizer is of another kind.  A test
-compares the ids with the library's for whole texts.
+joins characters across a single blank or line break between two words, nor a
+word's last letter and the marks after it, so texts are cut there and each
+distinct part is encoded once (``Encoder``).  Texts with several white spaces
+in a row go to the library whole, as do all texts if the tokenizer is of another
+kind.  A test compares the ids with the library's for whole texts.
 
 Defined results: a null or empty text has the end id only; repeated rows and
 repeated or null ids give their pieces each; an empty table gives an empty
@@ -39,15 +39,15 @@ MAX_PIECE = 512
 BIN_PIECES = 1024
 END_ID = 0
 SLICE_BYTES = 16 << 20
-MEMO_PARTS = 300_000
+MEMO_PARTS = 400_000
 
-#: Letters, marks and digits between which the pre-tokenizer always cuts; an
-#: apostrophe may begin a contraction and belongs to none.
-LETTERS, MARKS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", r"!-&(-/:-@\[-`{-~"
-#: The parts of a text without blanks: runs of one kind, up to a place where a
-#: cut is safe, a line break between two words, or all the rest.
-PART = (rf"[{LETTERS}]+(?=[{MARKS}'0-9\n]|$)|[{MARKS}]+(?=[{LETTERS}0-9\n]|$)|[0-9]+(?=[{LETTERS}{MARKS}'\n]|$)"
-        r"|\n(?=\S)|[^\n]+(?=\n|$)|(?s:.+)")
+#: Cuts are marked by this character; texts that hold it go to the library whole.
+CUT = "\0"
+#: White space, texts for the library, letters, and marks after a word, in the syntax
+#: of Arrow's regular expressions; an apostrophe may begin a contraction and is no such mark.
+WHITE = r"[\s\v\x{85}\pZ]"
+ODD = rf"{WHITE}{{2}}|{CUT}|^[^\S\n]|[^\S\n]$|^[\v\x{{85}}\pZ]|[\v\x{{85}}\pZ]$"
+LETTERS, MARKS = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}", r"!-&(-/:-@\[-`{-~"
 
 
 # -- differencing ---------------------------------------------------------
@@ -59,13 +59,19 @@ def differencing(sizes, k: int):
 
     import numpy as np
 
-    n = len(sizes)
-    # a partial partition: its non-empty windows' sums, descending, and their nodes
-    parts = {i: (np.array([s], np.int64), np.array([i])) for i, s in enumerate(sizes)}
-    heap = [(-int(s), i) for i, s in enumerate(sizes)]
+    sizes = np.asarray(sizes, np.int64)
+    n, descending = len(sizes), np.argsort(-np.asarray(sizes, np.int64), kind="stable")
+    # a partial partition: its non-empty windows' sums, descending, and their nodes.  While it has an
+    # empty window, that of the largest size has the largest spread and takes the next size into
+    # that window, so the k largest sizes are merged at once.
+    head = descending[:k]
+    parts = {i: (sizes[i:i + 1], np.array([i])) for i in descending[k:].tolist()}
+    heap = [(-int(s), i) for i, (s,) in ((i, x[0]) for i, x in parts.items())]
+    parts[n] = sizes[head], head
+    heap.append((int(sizes[head[-1]]) * (len(head) == k) - int(sizes[head[0]]), n))
     heapq.heapify(heap)
     joined, fresh = [], n
-    for key in range(n, 2 * n - 1):
+    for key in range(n + 1, n + len(heap)):
         (a, a_node), (b, b_node) = (parts.pop(heapq.heappop(heap)[1]) for _ in range(2))
         # the largest windows of one meet the smallest, mostly empty, of the other
         both = max(0, len(a) + len(b) - k)
@@ -96,12 +102,14 @@ def pack(sizes, capacity: int = WINDOW):
     """The window of each size, none above the capacity."""
     import numpy as np
 
-    k = -(-int(np.sum(sizes)) // capacity)
+    total = int(np.sum(sizes))
+    k = -(-total // capacity)
     while True:
         window, sums = differencing(sizes, k)
         if sums[0] <= capacity:
             return window
-        k += max(1, int(np.maximum(sums - capacity, 0).sum()) // capacity)
+        # enough windows to lower their mean by half of what the largest has too much
+        k = max(k + 1, -(-2 * total // (3 * capacity - int(sums[0]))) if sums[0] < 2 * capacity else 0)
 
 
 # -- ids ------------------------------------------------------------------
@@ -124,49 +132,46 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-        import re
-
         import numpy as np
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_buffer(model)
         self.library.encode_special_tokens = True  # their strings in a text are text
-        line = self.library.encode("\n", add_special_tokens=False).ids
-        self.cuts, self.line = cuts_at_blanks(model) and len(line) == 1, line[:1]
-        self.end = np.array([end_id], np.uint32)
-        self.parts, self.memo = re.compile(PART).findall, {}
+        line, = self.whole(["\n"])
+        self.cuts, self.line = cuts_at_blanks(model) and len(line) == 1, line
+        self.end = np.array([end_id], np.uint32).tobytes()
+        self.forget()
 
     def whole(self, texts) -> list:
         import numpy as np
 
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def forget(self) -> None:
+        self.memo = {"": b"", "\n": self.line.tobytes()}
+
     def learn(self, parts) -> None:
-        """Put the parts' ids into the memo.  Parts without a line break are
-        encoded some thousands at a time, one a line."""
+        """Put the ids of parts without a line break into the memo, some
+        thousands at a time, a part a line: line breaks have their own id."""
         import numpy as np
 
-        one = [p for p in parts if "\n" not in p]
-        for start in range(0, len(one), 4096):
-            block = one[start:start + 4096]
+        for start in range(0, len(parts), 2048):
+            block = parts[start:start + 2048]
             ids, = self.whole(["\n".join(block) + "\n"])
             ends = np.flatnonzero(ids == self.line[0])
-            if len(ends) != len(block):  # not that pattern after all
+            if len(ends) != len(block):
                 raise ValueError("the tokenizer joins lines")
             data, ends = ids.tobytes(), (4 * ends).tolist()
             self.memo.update(zip(block, [data[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]))
-        other = [p for p in parts if "\n" in p]
-        self.memo.update(zip(other, [ids.tobytes() for ids in self.whole(other)]))
 
-    def pieces(self, words: list[str]) -> list[bytes]:
-        """The ids of words that start and end without white space, but for
-        one blank before."""
-        cut = [[" " + (found := self.parts(w[1:]))[0], *found[1:]] if w[0] == " " else self.parts(w) for w in words]
-        if len(self.memo) > MEMO_PARTS:
-            self.memo.clear()
-        self.learn(list(set().union(*cut).difference(self.memo)))
-        memo = self.memo
-        return [b"".join([memo[p] for p in parts]) for parts in cut]
+    def parts(self, texts):
+        """The texts cut into parts (an Arrow array of lists)."""
+        import pyarrow.compute as pc
+
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", CUT + " "), "\n", f"{CUT}\n{CUT}")
+        marked = pc.replace_substring_regex(
+            marked, rf"([{LETTERS}])([{MARKS}]+)({CUT}|$)", rf"\1{CUT}\2\3")
+        return pc.split_pattern(marked, CUT)
 
     def encode(self, texts):
         """Of an Arrow array of strings: the ids of all texts in a row, each
@@ -176,32 +181,25 @@ class Encoder:
         import pyarrow.compute as pc
 
         texts = pc.fill_null(texts, "")
-        odd = np.ones(len(texts), bool)
-        if self.cuts:  # white space beside a blank, or at an end
-            odd = np.asarray(pc.match_substring_regex(texts, r"^(\s|\v|\x{85}|\pZ)|(\s|\v|\x{85}|\pZ)$|^$| (\s|\v|\x{85}|\pZ)|(\s|\v|\x{85}|\pZ) "))
-        words = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
-        sizes = np.asarray(pc.list_value_length(words), np.int64)
-        coded = words.flatten().dictionary_encode()
-        codes = np.asarray(coded.indices, np.int64)
-        distinct = coded.dictionary.to_pylist()
-        # the table of ids: words after a blank, first words, whole odd texts, the end id
-        starts = np.cumsum(sizes) - sizes
-        firsts = sorted({distinct[c] for c in codes[starts[~odd]].tolist()})
-        place = {w: len(distinct) + i for i, w in enumerate(firsts)}
-        codes[starts[~odd]] = [place[distinct[c]] for c in codes[starts[~odd]].tolist()]
-        codes[starts[odd]] = len(distinct) + len(firsts) + np.arange(int(odd.sum()))
-        table = self.pieces([" " + w for w in distinct if w]) if self.cuts else []
-        table = iter(table)
-        data = [next(table) if w and self.cuts else b"" for w in distinct] + (self.pieces(firsts) if firsts else [])
-        data += [ids.tobytes() for ids in self.whole(texts.filter(pa.array(odd)).to_pylist())]
-        data.append(self.end.tobytes())
-        codes = np.insert(codes, starts + sizes, len(data) - 1)
+        odd = np.asarray(pc.match_substring_regex(texts, ODD)) | (not self.cuts)
+        cut = self.parts(pc.if_else(pa.array(odd), "", texts))
+        sizes = np.asarray(pc.list_value_length(cut), np.int64)
+        coded = cut.flatten().dictionary_encode()
+        codes, distinct = np.asarray(coded.indices, np.int64), coded.dictionary.to_pylist()
+        if len(self.memo) > MEMO_PARTS:
+            self.forget()
+        self.learn([p for p in distinct if p not in self.memo])
+        # a table of ids: distinct parts, odd texts, the end id
+        data = [*map(self.memo.__getitem__, distinct),
+                *[ids.tobytes() for ids in self.whole(texts.filter(pa.array(odd)).to_pylist())], self.end]
+        ends = np.cumsum(sizes)
+        codes[(ends - sizes)[odd]] = len(distinct) + np.arange(int(odd.sum()))
+        codes = np.insert(codes, ends, len(data) - 1)
         lengths = np.array([len(d) // 4 for d in data], np.int64)
-        flat = np.frombuffer(b"".join(data), "<u4")
         n = lengths[codes]
-        ends = np.cumsum(n)
-        at = np.repeat((np.cumsum(lengths) - lengths)[codes] - (ends - n), n)
-        return flat[at + np.arange(len(at))], ends[np.cumsum(sizes + 1) - 1]
+        stops = np.cumsum(n)
+        at = np.repeat((np.cumsum(lengths) - lengths)[codes] - (stops - n), n) + np.arange(stops[-1])
+        return np.frombuffer(b"".join(data), "<u4")[at], stops[np.cumsum(sizes + 1) - 1]
 
 
 # -- Spark plan -----------------------------------------------------------
