@@ -9,6 +9,7 @@ types line up one to one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,8 @@ from voxsift.operators.tickets import (active_messages, attach_config, attach_ta
                                        resolve_config, ticket_id,
                                        ticket_messages)
 from voxsift.plans.triage import feedback, flat_tickets, ticket_rows, triage
-from voxsift.session import materialize
-from voxsift.sources import tables
+from voxsift.session import materialize, scratch_path
+from voxsift.sources import connector, tables
 
 TOP_N = 10
 ACTIVE_AT = "2024-01-02 12:00:00"
@@ -144,6 +145,29 @@ def page_explode(spark, d):
     return explode_pages(build_pages(offered), cmds.select("command_id", "fetch_n"))
 
 
+def _stored_pages(spark, d):
+    """The offered pages stored by two fetches, even commands and odd ones."""
+    offered, cmds = _search(spark, d, "search", page_size=PAGE_SIZE, with_commands=True)
+    pages = materialize(build_pages(offered).join(cmds.select("command_id", "fetch_n"), "command_id"))
+    folder = scratch_path(spark, f"pages/{uuid.uuid4().hex}")
+    for fetch in (0, 1):
+        connector.store_pages(pages.where(F.col("command_id") % 2 == fetch), folder, fetch)
+    return folder
+
+
+def page_connector(spark, d):
+    return connector.read_pages(spark, _stored_pages(spark, d))
+
+
+def page_connector_stream(spark, d):
+    folder = _stored_pages(spark, d)
+    sink = f"{folder}-sink"
+    q = (connector.stream_pages(spark, folder).writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", f"{folder}-checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def work_list_first(spark, d):
     tix = triage(spark, d).tickets
     return (tix.where(F.col("type") == "ticket").orderBy("ticket_id").limit(1)
@@ -306,7 +330,7 @@ def model_map_udf(spark, d):
 
 def _registry() -> dict[str, Query]:
     from voxsift.operators import bayes, ml, neardup
-    from voxsift.streaming import triage_stream
+    from voxsift.streaming import leader_state, triage_stream
     return {
         "topn_helpful": topn_helpful,
         "noise_filter": noise_filter_q,
@@ -320,6 +344,8 @@ def _registry() -> dict[str, Query]:
         "page_log": page_log_q,
         "page_log_hashtag": page_log_hashtag,
         "page_explode": page_explode,
+        "page_connector": page_connector,
+        "page_connector_stream": page_connector_stream,
         "work_list_first": work_list_first,
         "reply_parse": reply_parse,
         "relevance_rules": relevance_rules,
@@ -345,6 +371,8 @@ def _registry() -> dict[str, Query]:
         "stream_triage": triage_stream.stream_triage_query,
         "stream_leaders": triage_stream.stream_leaders_query,
         "stream_events_once": triage_stream.stream_events_once_query,
+        "stream_command_leaders": leader_state.stream_command_leaders_query,
+        "webhook_once": triage_stream.webhook_once_query,
     }
 
 

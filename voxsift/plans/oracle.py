@@ -596,6 +596,18 @@ def oracle_sql() -> dict[str, str]:
         FROM trows2 t JOIN rel USING (review_id) JOIN reviews r USING (review_id)
         WHERE rel.relevant AND {longer('r.text', 3)}""")
     q["stream_leaders"] = q["dedup_exact"]
+    q["stream_command_leaders"] = _q(REVIEWS, f"""r AS (SELECT app_id, review_id, votes, {norm('text')} AS nt
+        FROM reviews WHERE {longer('text', 3)})""", body="""SELECT app_id AS command_id,
+        first(review_id ORDER BY votes DESC, review_id) AS leader_id,
+        CAST(count(*) AS BIGINT) AS total_reviews, CAST(sum(votes) AS BIGINT) AS total_votes
+        FROM r GROUP BY app_id, nt""")
+    q["page_connector"] = q["page_connector_stream"] = q["page_explode"]
+    cut = " ".join(f"WHEN {i} THEN date_trunc('{unit}', ts)" for i, unit in (
+        (0, "second"), (1, "millisecond"), (4, "millisecond")))
+    q["webhook_once"] = f"""SELECT CASE WHEN event_id % 11 <> 0 THEN 'key-' || event_id END AS unique_key,
+        event_type, CAST(event_id AS VARCHAR) AS work_id, 'ticket' AS work_type,
+        strftime(CASE event_id % 5 {cut} ELSE ts END, '%Y-%m-%d %H:%M:%S.%f') AS event_ts
+        FROM events WHERE event_type IN ('purchase', 'error')"""
     q["stream_events_once"] = """SELECT event_id, event_type,
         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events"""
     q.update(neardup_sql())
