@@ -92,3 +92,39 @@ def test_conditions_read_as_rules():
     c = quality.Condition("upper_share", True, 0.5)
     assert str(quality.Rule((c,), 1.0, 3)) == "upper_share > 0.5"
     assert F is not None
+
+
+def test_repeated_label_rows_change_nothing(spark):
+    """A third of all label rows equal, beyond the bound, and copies of that
+    document: the rules stay."""
+    docs, labels = training(600)
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = lambda rows: spark.createDataFrame(rows, "doc_id bigint, quality int")
+    want = quality.learn(frame(docs), known(labels), max_fit_rows=700)
+    first = min(range(600), key=lambda i: spark_hash(spark, i))
+    repeated = known(labels).unionByName(known([labels[first]]).crossJoin(spark.range(1000)).drop("id"))
+    copies = frame(docs).unionByName(frame([docs[first]]).crossJoin(spark.range(300)).drop("id"))
+    assert want and quality.learn(copies, repeated, max_fit_rows=700) == want
+
+
+def spark_hash(spark, i, memo={}):  # noqa: B006
+    if not memo:
+        memo.update({r.id: r.h for r in spark.range(2000).select("id", F.xxhash64("id").alias("h")).collect()})
+    return memo[i]
+
+
+def test_labels_that_disagree_do_not_train(spark):
+    docs, labels = training(600)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    both = [(i, 1 - y) for i, y in labels[::7]]
+    got = quality.learn(frame, spark.createDataFrame(labels + both, "doc_id bigint, quality int"))
+    want = quality.learn(frame, spark.createDataFrame(
+        [x for k, x in enumerate(labels) if k % 7], "doc_id bigint, quality int"))
+    assert got == want
+
+
+def test_very_long_text(spark):
+    text = "word " * 300_000 + "#"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = quality.judge(docs, []).select("judged.statistics.w.n_words", "judged.rule").first()
+    assert (row.n_words, row.rule) == (300_001, -1)

@@ -108,3 +108,13 @@ def test_long_chain_settles(spark):
     n = 300
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "a bigint, b bigint")
     assert {r.root for r in simhash.components(edges).collect()} == {0}
+
+
+def test_equal_ids_and_texts_leave_the_same_row_in_any_order(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, "p"), (1, words, "q"), (1, words, None), (2, words, "a")]
+    for order in (rows, rows[::-1], [rows[1], rows[0], rows[3]]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string, src string")
+        kept = simhash.keep_first(docs).collect()
+        assert [tuple(r) for r in kept] == [min(
+            (r for r in order if r[0] == 1), key=lambda r: (r[2] is not None, r[2] or ""))]

@@ -18,15 +18,25 @@ VERSIONS: dict = {}
 
 
 def parts_of(text, a, b):
-    """A long sentence is cut after words whose crc32 is divisible by 6."""
+    """A long sentence is cut after the word of the last smallest crc32 of
+    each window of 11 words, but for the last word."""
     words = [(m.start() + a, m.end() + a) for m in re.finditer(r"\S+", text[a:b])]
-    if len(words) <= 18:
+    if len(words) <= 15:
         return [(a, b)]
-    ends = [e for s, e in words[:-1] if zlib.crc32(text[s:e].lower().encode()) % 6 == 0]
+    cuts = brute_cuts([text[s:e].lower() for s, e in words])
+    ends = [words[i][1] for i in cuts if i < len(words) - 1]
     return list(zip([a, *ends], [*ends, b]))
 
 
-def brute(rows, min_sentences=2, min_words=20):
+def runs_to(pieces, j, min_sentences, min_words):
+    """The shortest full run that ends with sentence j."""
+    for i in range(j, -1, -1):
+        if j + 1 - i >= min_sentences and sum(len(p[2].split()) for p in pieces[i:j + 1]) >= min_words:
+            return (i, j + 1, tuple(p[2] for p in pieces[i:j + 1]))
+    return None
+
+
+def brute(rows, both_ends, min_sentences=2, min_words=20):
     """(id, sentences, removed, text left) of (id, text) rows."""
     parsed, seen = [], {}
     for doc, text in rows:
@@ -43,6 +53,9 @@ def brute(rows, min_sentences=2, min_words=20):
                 if j - i >= min_sentences and sum(len(p[2].split()) for p in pieces[i:j]) >= min_words:
                     runs.append((i, j, tuple(p[2] for p in pieces[i:j])))
                     break
+        if both_ends:
+            ends = [runs_to(pieces, j, min_sentences, min_words) for j in range(len(pieces))]
+            runs = list(dict.fromkeys(runs + [r for r in ends if r]))
         for i, _, key in runs:
             here = (doc is None, doc or 0, version(text), i)
             seen[key] = min(seen.get(key, here), here)
@@ -63,7 +76,7 @@ def brute(rows, min_sentences=2, min_words=20):
 def corpus(n=150):
     rng = random.Random(13)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7)))
-    sentence = lambda: " ".join(word() for _ in range(rng.randrange(1, 16))) + rng.choice([".", "!", ",", ";", "\n"])
+    sentence = lambda: " ".join(word() for _ in range(rng.choice([*range(1, 16), 16, 23, 40, 80]))) + rng.choice([".", "!", ",", ";", "\n"])
     passages = [" ".join(sentence() for _ in range(rng.randrange(2, 12))) for _ in range(6)]
     rows = [(9000, None), (9001, ""), (9002, " \n ,"), (9003, "Short text. Twice."), (9004, "Short text. Twice.")]
     for i in range(n):
@@ -78,13 +91,13 @@ def corpus(n=150):
     return rows
 
 
-def compare(spark, rows, parts):
+def compare(spark, rows, parts, both_ends=True):
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id bigint, text string, place int, id string")
     VERSIONS.update({r.text: r.h for r in df.selectExpr("text", "hash(text) AS h").collect()})
-    got = spans.remove_repeats(df.repartition(parts)).collect()
+    got = spans.remove_repeats(df.repartition(parts), both_ends=both_ends).collect()
     found = sorted(((r.doc_id, r.n_sentences, r.n_removed, None if r.text is None else re.sub(r"\s", "", r.text))
                     for r in got), key=str)
-    assert found == brute(rows)
+    assert found == brute(rows, both_ends)
     texts = dict(rows)
     for r in got:
         if r.text is not None and r.doc_id is not None:
@@ -94,9 +107,10 @@ def compare(spark, rows, parts):
             assert left + texts[r.doc_id][last:] == r.text
 
 
+@pytest.mark.parametrize("both_ends", [False, True])
 @pytest.mark.parametrize("parts", [1, 7])
-def test_against_brute_force(spark, parts):
-    compare(spark, corpus(), parts)
+def test_against_brute_force(spark, parts, both_ends):
+    compare(spark, corpus(), parts, both_ends)
 
 
 def test_runs_over_batch_ends(spark):
@@ -127,8 +141,8 @@ def test_passage_without_marks(spark):
     rows = [(k * 100 + i, " ".join([*(word() for _ in range(40)), p, *(word() for _ in range(40))]))
             for k, p in enumerate(passages) for i in range(2)]
     got = {r.doc_id: r.n_removed for r in spans.remove_repeats(
-        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert all(got[k * 100] == 0 for k in range(20)) and sum(got[k * 100 + 1] > 0 for k in range(20)) >= 17
+        spark.createDataFrame(rows, "doc_id bigint, text string"), both_ends=True).collect()}
+    assert all(got[k * 100] == 0 for k in range(20)) and all(got[k * 100 + 1] > 0 for k in range(20))
 
 
 def test_very_long_text_and_empty_table(spark):

@@ -80,3 +80,17 @@ def test_degenerate_training_sets(spark):
     nothing = one_sided.where("false")
     assert {r.score for r in toxicity.score(docs, toxicity.learn(docs, nothing)).collect()} == {0.0}
     assert toxicity.score(docs.where("false"), toxicity.learn(docs, nothing)).collect() == []
+
+
+def test_repeated_label_rows_change_nothing(spark):
+    """A third of all label rows equal, beyond the bound: the scores stay."""
+    docs, labels = corpus(500, 6)
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    again = known.where("doc_id = 8").crossJoin(spark.range(900)).drop("id")
+    conflict = spark.createDataFrame([(10_000, 0), (10_000, 1)], "doc_id bigint, toxic int")
+    more = d.unionByName(spark.createDataFrame([(10_000, "grumbulk " * 9)], "doc_id bigint, text string"))
+    score = lambda model: [r.score for r in toxicity.score(d, model).orderBy("doc_id").collect()]
+    want = score(toxicity.learn(d, known, max_fit_docs=600))
+    got = score(toxicity.learn(more, known.unionByName(again).unionByName(conflict), max_fit_docs=600))
+    assert got == want and max(got) > 0.5

@@ -67,6 +67,13 @@ def slices(batch, text_at: int, most: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def one_label(labels: DataFrame, id_col: str, label: Column) -> DataFrame:
+    """(id, y), one row per id with a label: repeated rows count once, and an
+    id whose rows disagree has none.  Repeats combine on the map side."""
+    rows = labels.select(col(id_col).alias("id"), label.alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
+    return rows.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").drop("most")
+
+
 def bounded_sample(df: DataFrame, most: int, *by: Column) -> DataFrame:
     """The ``most`` distinct rows of the smallest hash of ``by`` (the same
     rows on every run); copies of a row count once.  ``by`` must tell distinct

@@ -277,7 +277,8 @@ def search_texts(texts, blocks):
             items.setdefault(text, set()).update(owners[phrase])
     hit = np.flatnonzero(np.cumsum(covered[:-1]) > 0)
     of_text = np.searchsorted(begins, hit, side="right") - 1
-    hits = {int(t): hit[of_text == t] - begins[t] for t in np.unique(of_text)}
+    found, first = np.unique(of_text, return_index=True)
+    hits = {t: own - begins[t] for t, own in zip(found.tolist(), np.split(hit, first[1:]))}
     return sizes, hits, {t: sorted(x) for t, x in items.items()}
 
 

@@ -12,8 +12,9 @@ driver.  ``verdict`` turns the list into one ordered Spark conditional
 expression.
 
 Defined results: a null or blank text has no words and fails the base rule;
-rows without a label, with a null label or a null id do not train; repeated
-rows are judged each; without labelled junk the list is empty and only the
+rows without a label, with a null label or a null id do not train, nor do ids
+whose labels disagree; repeated label rows, and repeated rows of a document,
+train once; repeated rows are judged each; without labelled junk the list is empty and only the
 base rule rejects; an empty table gives an empty result.
 """
 
@@ -25,7 +26,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, col
+from .common import SPACE, col, one_label
 
 MAX_FIT_ROWS = 20_000
 BINS = 24
@@ -224,16 +225,16 @@ def cover(cells, names, thresholds, min_precision=0.9, min_covered=5, max_condit
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_fit_rows: int = MAX_FIT_ROWS, bins: int = BINS) -> list[Rule]:
     """Fit the list to labels (0: junk, else clean) of at most
-    ``max_fit_rows`` labelled rows, chosen by a hash of the id.  The sample
+    ``max_fit_rows`` labelled ids, chosen by a hash of the id.  The sample
     is bounded by that parameter, so it is broadcast to the scan."""
-    sample = (labels.select(col(id_col).alias("id"), (col(label_col) == 0).alias("junk"))
-              .where("id IS NOT NULL AND junk IS NOT NULL")
-              .orderBy(F.xxhash64("id"), "id", "junk").limit(max_fit_rows))
+    sample = (one_label(labels, id_col, col(label_col) == 0).withColumnRenamed("y", "junk")
+              .orderBy(F.xxhash64("id"), "id").limit(max_fit_rows))
     rows = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(sample), "id")
     shown = measured("text", lambda s: F.struct(
         base_failed(s).alias("failed"), *[x.alias(n) for n, x in features(s).items()]))
-    every = rows.select("junk", (F.pmod(F.xxhash64("id", F.lit("prune")), F.lit(3)) == 0).alias("held"),
-                        shown.alias("f")).persist()
+    # copies of a document count once
+    every = rows.select("id", "junk", (F.pmod(F.xxhash64("id", F.lit("prune")), F.lit(3)) == 0).alias("held"),
+                        shown.alias("f")).distinct().persist()
     names = list(features(F.struct()))
     table = every.where("NOT f.failed").select("junk", "held", *[F.col(f"f.{n}").alias(n) for n in names])
     try:

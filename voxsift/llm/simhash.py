@@ -315,7 +315,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                seed: int = SEED) -> DataFrame:
     """The documents, all columns, with one row of each component: the one
-    of the smallest id (then smallest fingerprint); of equal such rows one.
+    of the smallest id (then smallest fingerprint); of several such rows the
+    one of the shortest text, then the first in the order of all columns.
     A row without an id stays only if its component has no id."""
     fps = cut(fingerprint(docs, {id_col: "id"}, text_col, "fp", shingle_words, seed))
     groups = _groups(fps, max_bits)
@@ -326,7 +327,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     rows = fingerprint(docs, names, text_col, "fp", shingle_words, seed)
     mine = names[id_col]
-    one = Window.partitionBy(mine, "fp").orderBy(F.length(names[text_col]))
+    # a total order of distinct rows, whatever order they come in
+    order = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() or "variant" in
+             f.dataType.simpleString() else F.col(f.name) for f in rows.schema.fields if f.name != "fp"]
+    one = Window.partitionBy(mine, "fp").orderBy(F.length(names[text_col]), *order)
     rows = rows.withColumn("place", F.row_number().over(one)).where("place = 1")
     kept = rows.join(keepers, rows[mine].eqNullSafe(keepers.keep_id) & (rows.fp == keepers.keep_fp), "left_semi")
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -13,7 +13,8 @@ very long text thus still counts.
 Scores read the text only.  Scoring runs inside the scan, without shuffles.
 
 Defined results: null, empty and wordless texts score like a text whose words
-are all harmless; rows without an id or a label do not train; a training set
+are all harmless; rows without an id or a label do not train, nor do ids whose
+labels disagree; repeated label rows train once; a training set
 without both labels gives every text its base rate; repeated rows give a row
 each; empty tables give empty results; other columns are not read.
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, slices
+from .common import col, one_label, slices
 from .subword import averages, train
 
 SIZES, BITS, DIM = (3, 4, 5, 6), 18, 8
@@ -149,13 +150,13 @@ def fit(rows, seed=5) -> dict:
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic", max_fit_docs: int = MAX_FIT_DOCS) -> dict:
-    """Fit on at most ``max_fit_docs`` labelled rows of those that
+    """Fit on at most ``max_fit_docs`` labelled ids of those that
     ``train_rows`` (of the labels) holds for, chosen by a hash of the id.
     The sample is bounded by that parameter, so it is broadcast to the scan."""
     src = labels if train_rows is None else labels.where(train_rows)
-    sample = (src.select(col(id_col).alias("id"), col(label_col).cast("int").alias("y"))
-              .where("id IS NOT NULL AND y IN (0, 1)")
-              .orderBy(F.xxhash64("id"), "id", "y").limit(max_fit_docs))
+    value = col(label_col).cast("int")
+    sample = one_label(src, id_col, F.when(value.isin(0, 1), value)).orderBy(
+        F.xxhash64("id"), "id").limit(max_fit_docs)
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).join(
         F.broadcast(sample), "id").select("id", "text", "y")
     # ids may repeat in docs: the bound holds for rows too, of which copies count once
