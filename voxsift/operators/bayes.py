@@ -41,9 +41,11 @@ def prior(train: DataFrame, label: str = "relevant") -> Column:
 
 def relevance_by_bayes(df: DataFrame, train: DataFrame, key: str, text: str = "text",
                        label: str = "relevant") -> DataFrame:
-    """(key, bayes_score, relevant) of every row of ``df``."""
-    tokens = df.select(key, F.explode_outer(token_set(F.col(text))).alias("tok"))
-    scored = tokens.join(token_weights(train, text, label), "tok", "left").groupBy(key).agg(
+    """(key, bayes_score, relevant) of every row of ``df``; rows that repeat
+    a key are scored each."""
+    tokens = df.select(key, F.monotonically_increasing_id().alias("_row"), token_set(F.col(text)).alias("_toks")).select(
+        key, "_row", F.explode_outer("_toks").alias("tok"))
+    scored = tokens.join(token_weights(train, text, label), "tok", "left").groupBy(key, "_row").agg(
         F.coalesce(F.sum("weight"), F.lit(0)).cast("bigint").alias("tokens"))
     score = (F.col("tokens") + prior(train, label)).cast("bigint")
     return scored.select(key, score.alias("bayes_score"), (score > 0).alias("relevant"))
@@ -68,5 +70,7 @@ def relevance_bayes_all_query(spark, d):
     held = F.col("doc_id") % 5 == 0
     docs = tables.table(spark, d, "documents").select("doc_id", "text")
     out = relevance_by_bayes(docs, rows.where(~held), "doc_id")
-    labels = rows.select("doc_id", F.col("relevant").alias("labelled"))
+    # one label an id; an id whose labels disagree has none
+    labels = rows.groupBy("doc_id").agg(F.min("relevant").alias("labelled"), F.max("relevant").alias("_most")).where(
+        "labelled = _most").drop("_most")
     return out.join(labels, "doc_id", "left").withColumn("held_out", held)
