@@ -89,6 +89,19 @@ def test_bayes_learns_the_labels(spark):
     assert got[3].bayes_score == got[4].bayes_score
 
 
+def test_bayes_scores_repeated_ids_each(spark, sf, tmp_path):
+    import __spark_entry__ as entry
+    query = entry.queries()["relevance_bayes_all"]
+    want = {r.doc_id: tuple(r) for r in query(spark, sf).collect()}
+    again = next(i for i, r in sorted(want.items()) if i % 5 == 0)  # in the fold that does not train
+    for name in ("documents", "labels"):
+        table = spark.read.parquet(f"{sf}/{name}.parquet")
+        one = table.where(F.col("doc_id") == again)
+        table.unionByName(one).unionByName(one).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = query(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) + 2 and all(tuple(r) == want[r.doc_id] for r in got)
+
+
 def test_bayes_scores_every_document(spark, sf):
     import __spark_entry__ as entry
     import duckdb

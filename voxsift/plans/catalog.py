@@ -329,7 +329,7 @@ def model_map_udf(spark, d):
 
 
 def _registry() -> dict[str, Query]:
-    from voxsift.operators import bayes, ml, neardup
+    from voxsift.operators import bayes, ml, neardup, summary_dedup
     from voxsift.streaming import leader_state, triage_stream
     return {
         "topn_helpful": topn_helpful,
@@ -362,6 +362,7 @@ def _registry() -> dict[str, Query]:
         "dedup_exact": dedup_exact,
         "dedup_pairs": neardup.dedup_pairs_query,
         "dedup_leaders": neardup.dedup_leaders_query,
+        "dedup_summary": summary_dedup.dedup_summary_query,
         "dedup_context": dedup_context,
         "dedup_replay": dedup_replay,
         "summary_extract": summary_extract,

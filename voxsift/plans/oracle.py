@@ -617,18 +617,41 @@ def oracle_sql() -> dict[str, str]:
 def neardup_sql() -> dict[str, str]:
     """Brute force: all node pairs by Jaccard, then a recursive walk in rank
     order that carries the leader list (the sequential rule itself)."""
-    base = f"""WITH RECURSIVE {REVIEWS},
-r AS (SELECT review_id, votes, {norm('text')} AS nt, list_distinct({toks('text')}) AS ts
-      FROM reviews WHERE {longer('text', 3)}),
+    rows = f"""r AS (SELECT review_id, votes, {norm('text')} AS nt, list_distinct({toks('text')}) AS ts
+      FROM reviews WHERE {longer('text', 3)})"""
+    jaccard = """len(a.ts) > 0 AND len(b.ts) > 0
+    AND 5 * len(a.ts) >= 4 * len(b.ts) AND 5 * len(b.ts) >= 4 * len(a.ts)
+    AND 5 * len(list_intersect(a.ts, b.ts)) >= 4 * len(list_distinct(list_concat(a.ts, b.ts)))"""
+    base = _leader_walk(rows, jaccard)
+    # the same walk, of texts against earlier leaders' summaries
+    rows = f"""srcd AS (SELECT review_id, text FROM reviews WHERE {longer('text', 3)}),
+{summary_cte('srcd', 'sx', 5, 1)},
+r AS (SELECT review_id, votes, {norm('text')} AS nt, list_distinct({toks('text')}) AS ts,
+        list_distinct({toks('summary')}) AS ss
+      FROM reviews JOIN sx USING (review_id) WHERE {longer('text', 3)})"""
+    of_summary = "len(a.ss) > 0 AND 5 * len(list_intersect(a.ss, b.ts)) >= 4 * len(a.ss)"
+    leaders = """SELECT r.review_id, nl.leader AS leader_id,
+            r.review_id = nl.leader AS is_leader
+            FROM r JOIN nodes n USING (nt) JOIN nl ON nl.node = n.node"""
+    return {
+        "dedup_leaders": base + leaders,
+        "dedup_pairs": base + """SELECT bnode AS review_id, anode AS leader_id,
+            CAST(inter AS BIGINT) AS inter, CAST(uni AS BIGINT) AS uni FROM lp""",
+        "dedup_summary": _leader_walk(rows, of_summary) + leaders,
+    }
+
+
+def _leader_walk(rows: str, similar: str) -> str:
+    """CTEs up to ``nl`` (node, leader): nodes of ``rows`` in rank order walked
+    with the leaders so far; ``similar`` compares a later node b to a leader a."""
+    return f"""WITH RECURSIVE {REVIEWS},
+{rows},
 nodes AS (SELECT nt, first(review_id ORDER BY votes DESC, review_id) AS node FROM r GROUP BY nt),
-nd AS (SELECT n.node, r.ts, row_number() OVER (ORDER BY r.votes DESC, r.review_id) AS rk
+nd AS (SELECT n.node, r.* EXCLUDE (review_id, votes, nt), row_number() OVER (ORDER BY r.votes DESC, r.review_id) AS rk
        FROM nodes n JOIN r ON r.review_id = n.node),
 edges AS (SELECT a.rk AS ark, b.rk AS brk, a.node AS anode, b.node AS bnode,
     len(list_intersect(a.ts, b.ts)) AS inter, len(list_distinct(list_concat(a.ts, b.ts))) AS uni
-  FROM nd a JOIN nd b ON a.rk < b.rk
-  WHERE len(a.ts) > 0 AND len(b.ts) > 0
-    AND 5 * len(a.ts) >= 4 * len(b.ts) AND 5 * len(b.ts) >= 4 * len(a.ts)
-    AND 5 * len(list_intersect(a.ts, b.ts)) >= 4 * len(list_distinct(list_concat(a.ts, b.ts)))),
+  FROM nd a JOIN nd b ON a.rk < b.rk WHERE {similar}),
 nb AS (SELECT nd.rk, list(e.ark) FILTER (WHERE e.ark IS NOT NULL) AS earlier
        FROM nd LEFT JOIN edges e ON e.brk = nd.rk GROUP BY nd.rk),
 walk(rk, leaders) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
@@ -642,10 +665,3 @@ lp AS (SELECT e.* FROM edges e WHERE e.ark IN (SELECT rk FROM fin)
 att AS (SELECT bnode AS node, arg_min(anode, ark) AS leader FROM lp GROUP BY bnode),
 nl AS (SELECT nd.node, coalesce(att.leader, nd.node) AS leader FROM nd LEFT JOIN att USING (node))
 """
-    return {
-        "dedup_leaders": base + """SELECT r.review_id, nl.leader AS leader_id,
-            r.review_id = nl.leader AS is_leader
-            FROM r JOIN nodes n USING (nt) JOIN nl ON nl.node = n.node""",
-        "dedup_pairs": base + """SELECT bnode AS review_id, anode AS leader_id,
-            CAST(inter AS BIGINT) AS inter, CAST(uni AS BIGINT) AS uni FROM lp""",
-    }
