@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voxsift.functions.jsstr import js_or
 from voxsift.functions.text import tags_of
+from voxsift.session import materialize
 from voxsift.sources.tables import SOCIAL_START_DATE
 
 PAGE_SIZE = 20
@@ -58,9 +59,30 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
+HOT_COMMANDS = 10_000
+
+
+def join_on_hot_keys(commands: DataFrame, ranked: DataFrame, key: str, hot: int = HOT_COMMANDS) -> DataFrame:
+    """``commands`` joined to the ``ranked`` rows of their key.  A key with
+    more than ``hot`` commands (found by a count) is dealt into salts of about
+    ``hot`` commands, and its ranked rows, and no others, are copied to each
+    salt: at most one copy for each ``hot`` commands, and no task gathers all
+    commands of a key."""
+    counts = commands.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot)
+    salts = materialize(counts.select(F.col(key).alias("_key"), F.ceil(F.col("_n") / hot).cast("int").alias("_salts")))
+    if salts.isEmpty():
+        return commands.join(ranked, key)
+    n = F.coalesce("_salts", F.lit(1))
+    dealt = commands.join(salts, commands[key] == salts["_key"], "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("command_id"), n).cast("int")).drop("_key", "_salts")
+    copied = ranked.join(salts, ranked[key] == salts["_key"], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_key", "_salts")
+    return dealt.join(copied, [key, "_salt"]).drop("_salt")
+
+
 def top_n_per_command(candidates: DataFrame, commands: DataFrame, key: str,
                       max_n: int, order: list[Column] | None = None,
-                      page_size: int = 1) -> DataFrame:
+                      page_size: int = 1, hot: int = HOT_COMMANDS) -> DataFrame:
     """JN-6: each command gets the first ``fetch_n`` candidates of its key.
 
     Candidates are ranked once per key (not per command) and cut at the
@@ -72,7 +94,7 @@ def top_n_per_command(candidates: DataFrame, commands: DataFrame, key: str,
     # the partial group limit takes an int; no rank goes beyond it
     bound = min(-(-max(int(max_n), 0) // page_size) * page_size, (1 << 31) - 1)
     ranked = top_n(candidates, bound, [key], order)
-    return commands.join(ranked, key).where(F.col("rank") <= offered)
+    return join_on_hot_keys(commands, ranked, key, hot).where(F.col("rank") <= offered)
 
 
 def social_posts(reviews: DataFrame) -> DataFrame:

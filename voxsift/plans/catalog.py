@@ -329,7 +329,7 @@ def model_map_udf(spark, d):
 
 
 def _registry() -> dict[str, Query]:
-    from voxsift.operators import bayes, ml, neardup, summary_dedup
+    from voxsift.operators import bayes, ml, neardup, rank, summary_dedup
     from voxsift.streaming import leader_state, triage_stream
     return {
         "topn_helpful": topn_helpful,
@@ -346,6 +346,7 @@ def _registry() -> dict[str, Query]:
         "page_explode": page_explode,
         "page_connector": page_connector,
         "page_connector_stream": page_connector_stream,
+        "engagement_rank": rank.engagement_rank_query,
         "work_list_first": work_list_first,
         "reply_parse": reply_parse,
         "relevance_rules": relevance_rules,

@@ -601,6 +601,10 @@ def oracle_sql() -> dict[str, str]:
         first(review_id ORDER BY votes DESC, review_id) AS leader_id,
         CAST(count(*) AS BIGINT) AS total_reviews, CAST(sum(votes) AS BIGINT) AS total_votes
         FROM r GROUP BY app_id, nt""")
+    q["engagement_rank"] = _q(REVIEWS, """e AS (SELECT review_id,
+        3 * votes + count(*) OVER (PARTITION BY username) AS engagement FROM reviews)""",
+                              body="""SELECT review_id, engagement,
+        row_number() OVER (ORDER BY engagement DESC, review_id) AS position FROM e""")
     q["page_connector"] = q["page_connector_stream"] = q["page_explode"]
     cut = " ".join(f"WHEN {i} THEN date_trunc('{unit}', ts)" for i, unit in (
         (0, "second"), (1, "millisecond"), (4, "millisecond")))
