@@ -11,7 +11,9 @@ FAST = ["topn_helpful", "noise_filter", "command_parse", "route_events", "config
         "union_sources", "mention_search", "page_explode", "reply_parse", "relevance_rules",
         "category_rules", "severity_tickets", "messages_latest", "rejects", "dedup_exact",
         "dedup_replay", "summary_extract", "model_map_replay", "dedup_leaders",
-        "issues", "triage_end_to_end", "dedup_pairs", "page_log", "page_log_hashtag", "relevance_bayes"]
+        "issues", "triage_end_to_end", "dedup_pairs", "page_log", "page_log_hashtag", "relevance_bayes",
+        "page_connector", "page_connector_stream", "stream_command_leaders", "webhook_once", "dedup_summary",
+        "engagement_rank"]
 
 
 def test_entry_runs(spark):
