@@ -165,8 +165,13 @@ def issues(tix: DataFrame, issue_text: DataFrame, reuse_ticket_text: bool = Fals
     ``issue_text`` is ``(command_id, review_id, issue_title, issue_summary,
     url)`` of the store reviews that need an issue: a review fetched by two
     commands has a ticket and an issue in each."""
-    eligible = tix.where(F.col("needs_issue"))
-    j = eligible.join(issue_text, ["command_id", "review_id"], "left")
+    return issue_rows(tix.where(F.col("needs_issue")).join(issue_text, ["command_id", "review_id"], "left"),
+                      reuse_ticket_text)
+
+
+def issue_rows(rows: DataFrame, reuse_ticket_text: bool = False) -> DataFrame:
+    """The issues of ticket rows that carry their issue text already."""
+    j = rows.where(F.col("needs_issue"))
     is_store = (F.col("source") == "store") & F.lit(not reuse_ticket_text)
     title = F.when(is_store, F.concat(F.col("issue_title"), F.lit("Ticket ID:"),
                                       F.col("ticket_id"))).otherwise(F.col("title"))

@@ -330,6 +330,7 @@ def model_map_udf(spark, d):
 
 def _registry() -> dict[str, Query]:
     from voxsift.operators import bayes, ml, neardup, rank, summary_dedup
+    from voxsift.plans import command_triage
     from voxsift.streaming import leader_state, triage_stream
     return {
         "topn_helpful": topn_helpful,
@@ -370,6 +371,8 @@ def _registry() -> dict[str, Query]:
         "model_map_replay": model_map_replay,
         "model_map_udf": model_map_udf,
         "triage_end_to_end": triage_end_to_end,
+        "command_tickets": command_triage.command_tickets_query,
+        "command_issues": command_triage.command_issues_query,
         "stream_triage": triage_stream.stream_triage_query,
         "stream_leaders": triage_stream.stream_leaders_query,
         "stream_events_once": triage_stream.stream_events_once_query,

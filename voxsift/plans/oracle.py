@@ -226,15 +226,17 @@ rel AS (SELECT r.review_id, CAST(coalesce(s.s, 0) AS BIGINT) AS relevance_score,
         FROM reviews r LEFT JOIN rscore s USING (review_id))"""
 
 
-def summary_cte(src: str, name: str, title_terms: int, summary_sentences: int) -> str:
-    """``{name}(review_id, title, summary)`` over ``src(review_id, text)``."""
+def summary_cte(src: str, name: str, title_terms: int, summary_sentences: int, corpus: str = "") -> str:
+    """``{name}(review_id, title, summary)`` over ``src(review_id, text)``, with
+    the document frequencies of ``src``, or of the texts of ``corpus``."""
+    df = (f"(SELECT unnest(list_distinct({toks('text')})) AS tok FROM {corpus})" if corpus else f"{name}_tf")
     return f"""{name}_tl AS (SELECT review_id, {toks('text')} AS tl FROM {src}),
 {name}_tp AS (SELECT review_id, unnest(tl) AS tok, generate_subscripts(tl, 1) AS pos
               FROM {name}_tl),
 {name}_tf AS (SELECT review_id, tok, count(*) AS tf, min(pos) AS first_pos FROM {name}_tp
               GROUP BY 1, 2),
-{name}_df AS (SELECT tok, count(*) AS df FROM {name}_tf GROUP BY 1),
-{name}_n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {src}),
+{name}_df AS (SELECT tok, count(*) AS df FROM {df} GROUP BY 1),
+{name}_n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {corpus or src}),
 {name}_w AS (SELECT f.review_id, f.tok, f.first_pos,
     f.tf * CAST(floor(1000000 * ln(n.n / CAST(d.df AS DOUBLE))) AS BIGINT) AS weight
   FROM {name}_tf f JOIN {name}_df d USING (tok) CROSS JOIN {name}_n n),
@@ -285,6 +287,11 @@ offered AS (SELECT c.command_id, c.fetch_n, c.term, r.review_id, r.rank FROM cmd
 fetched AS (SELECT * FROM offered WHERE rank <= fetch_n)"""
 
 
+JACCARD = """len(a.ts) > 0 AND len(b.ts) > 0
+    AND 5 * len(a.ts) >= 4 * len(b.ts) AND 5 * len(b.ts) >= 4 * len(a.ts)
+    AND 5 * len(list_intersect(a.ts, b.ts)) >= 4 * len(list_distinct(list_concat(a.ts, b.ts)))"""
+
+
 def triage_cte() -> str:
     """``tix`` (flat tickets) and ``iss`` (issues) of the whole triage."""
     store = "'store'"
@@ -330,6 +337,84 @@ iss AS (SELECT t.command_id, t.review_id,
   FROM tix t LEFT JOIN isum i USING (review_id) WHERE t.severity <> 'blocker')"""
 
 
+def command_triage_cte() -> str:
+    """``tix`` and ``iss`` of all commands: each list walked by the sequential
+    rule, each command's counts taken from its own rows."""
+    post = "CASE WHEN channel = 'social' THEN '@' || app_id || ' ' || text || ' #' || app_id ELSE text END AS text"
+    tagged = lambda kind, sigil, where: f"""SELECT DISTINCT '{kind}:' || lower(m) AS list_key, review_id FROM
+    (SELECT review_id, unnest(regexp_extract_all(text, '{TAG_PATTERN.replace("([@#])", "[" + sigil + "]")}', 1)) AS m
+     FROM reviews WHERE channel = 'social' {where})"""
+    english = f"AND language = 'en' AND created_at >= TIMESTAMP '{SEARCH_FROM}'"
+    return f"""{REVIEWS.replace("reviews AS (", "reviews0 AS (", 1)},
+reviews AS (SELECT * REPLACE ({post.removesuffix(" AS text")} AS text) FROM reviews0),
+{SOURCES},
+{COMMAND_EVENTS},
+{parsed_cte()},
+{CONFIG},
+fetches AS (SELECT p.command_id, p.fetch_n, c.part_id, c.owner_id,
+    CASE WHEN p.command = 'playstore_reviews_process' THEN 'store:' || a.app
+         ELSE p.mode || ':' || lower(p.term) END AS list_key
+  FROM parsed p JOIN cmd_a a USING (command_id) JOIN resolved c ON c.app_id = a.app
+  WHERE p.fetch_n > 0 AND c.config_error IS NULL),
+offers AS (SELECT 'store:' || app_id AS list_key, review_id FROM reviews WHERE channel = 'store'
+  UNION ALL {tagged("search", "@", english)}
+  UNION ALL {tagged("hashtag", "#", "")}),
+ranked AS (SELECT o.list_key, s.*, row_number() OVER (PARTITION BY o.list_key
+    ORDER BY s.votes DESC, s.review_id) AS rank FROM offers o JOIN sources s USING (review_id)),
+{RELEVANCE},
+r AS (SELECT k.list_key, k.review_id, k.rank, k.votes, {norm('k.text')} AS nt, list_distinct({toks('k.text')}) AS ts
+      FROM ranked k JOIN rel USING (review_id)
+      WHERE rel.relevant AND {longer('k.text', 3)}
+        AND k.rank <= (SELECT max(fetch_n) FROM fetches f WHERE f.list_key = k.list_key)),
+nodes AS (SELECT list_key, nt, min(rank) AS rank FROM r GROUP BY 1, 2),
+nd AS (SELECT n.list_key, n.nt, r.review_id, r.ts, row_number() OVER (PARTITION BY n.list_key ORDER BY n.rank) AS rk
+       FROM nodes n JOIN r ON r.list_key = n.list_key AND r.rank = n.rank),
+edges AS (SELECT b.list_key, a.rk AS ark, b.rk AS brk FROM nd a JOIN nd b ON a.list_key = b.list_key AND a.rk < b.rk
+  WHERE {JACCARD}),
+nb AS (SELECT nd.list_key, nd.rk, list(e.ark) FILTER (WHERE e.ark IS NOT NULL) AS earlier
+       FROM nd LEFT JOIN edges e ON e.list_key = nd.list_key AND e.brk = nd.rk GROUP BY 1, 2),
+walk(list_key, rk, leaders) AS (
+  SELECT DISTINCT list_key, CAST(0 AS BIGINT), CAST([] AS BIGINT[]) FROM nd
+  UNION ALL SELECT w.list_key, nb.rk, CASE WHEN len(list_intersect(w.leaders,
+      coalesce(nb.earlier, CAST([] AS BIGINT[])))) > 0 THEN w.leaders ELSE list_append(w.leaders, nb.rk) END
+  FROM walk w JOIN nb ON nb.list_key = w.list_key AND nb.rk = w.rk + 1),
+fin AS (SELECT list_key, arg_max(leaders, rk) AS leaders FROM walk GROUP BY 1),
+nl AS (SELECT nb.list_key, nb.rk, CASE WHEN list_contains(f.leaders, nb.rk) THEN nb.rk
+         ELSE list_min(list_intersect(f.leaders, nb.earlier)) END AS lrk
+       FROM nb JOIN fin f USING (list_key)),
+folds AS (SELECT r.list_key, r.review_id, r.rank, r.votes, l.review_id AS leader_id
+  FROM r JOIN nd ON nd.list_key = r.list_key AND nd.nt = r.nt
+  JOIN nl ON nl.list_key = nd.list_key AND nl.rk = nd.rk
+  JOIN nd l ON l.list_key = nl.list_key AND l.rk = nl.lrk),
+grp AS (SELECT f.command_id, any_value(f.part_id) AS part_id, any_value(f.owner_id) AS owner_id,
+    d.leader_id AS review_id, CAST(count(*) AS BIGINT) AS total_reviews, CAST(sum(d.votes) AS BIGINT) AS total_votes
+  FROM fetches f JOIN folds d ON d.list_key = f.list_key AND d.rank <= f.fetch_n GROUP BY f.command_id, d.leader_id),
+corpus AS (SELECT review_id, ticket_text AS text FROM sources),
+lead AS (SELECT * FROM corpus WHERE review_id IN (SELECT review_id FROM grp)),
+{summary_cte('lead', 'tsum', 5, 1, 'corpus')},
+{category_cte('lead')},
+tix AS (SELECT g.command_id, g.review_id, s.source, s.url,
+    {sha("'ticket'", 'CAST(g.command_id AS VARCHAR)', 'CAST(g.review_id AS VARCHAR)')} AS ticket_id,
+    t.title, c.tag_id AS tag_ids, t.summary || chr(10) || s.url AS body,
+    g.owner_id AS owned_by, g.part_id AS applies_to_part,
+    CASE WHEN c.category = 'positive_feedback' THEN 'blocker'
+         WHEN c.category IN ('feature_request', 'question') THEN 'low'
+         WHEN c.category IN ('negative_feedback', 'logistics_experience') THEN 'medium'
+         ELSE 'high' END AS severity,
+    c.category, g.total_reviews, g.total_votes
+  FROM grp g JOIN sources s USING (review_id) JOIN tsum t USING (review_id) JOIN catt c USING (review_id)),
+need AS (SELECT DISTINCT l.review_id, l.text FROM lead l JOIN tix t USING (review_id)
+         WHERE t.severity <> 'blocker' AND t.source = 'store'),
+{summary_cte('need', 'isum', 3, 2, 'corpus')},
+iss AS (SELECT t.command_id, t.review_id,
+    {sha("'issue'", 'CAST(t.command_id AS VARCHAR)', 'CAST(t.review_id AS VARCHAR)')} AS issue_id, t.ticket_id,
+    CASE WHEN t.source = 'store' THEN i.title || 'Ticket ID:' || t.ticket_id ELSE t.title END AS title,
+    CASE WHEN t.source = 'store' THEN i.summary || chr(10) || t.url ELSE t.body END AS body,
+    CASE WHEN t.severity = 'low' THEN 'p3' WHEN t.severity = 'medium' THEN 'p2' ELSE 'p1' END AS priority,
+    t.category
+  FROM tix t LEFT JOIN isum i USING (review_id) WHERE t.severity <> 'blocker')"""
+
+
 def ticket_rows_cte() -> str:
     return f"""{REVIEWS},
 {SOURCES},
@@ -614,6 +699,10 @@ def oracle_sql() -> dict[str, str]:
         FROM events WHERE event_type IN ('purchase', 'error')"""
     q["stream_events_once"] = """SELECT event_id, event_type,
         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events"""
+    q["command_tickets"] = f"""WITH RECURSIVE {command_triage_cte()} SELECT command_id, review_id, ticket_id,
+        title, tag_ids, body, owned_by, applies_to_part, severity, category, total_reviews, total_votes FROM tix"""
+    q["command_issues"] = f"""WITH RECURSIVE {command_triage_cte()} SELECT command_id, review_id, issue_id,
+        ticket_id, title, body, priority, category FROM iss"""
     q.update(neardup_sql())
     return q
 
@@ -623,10 +712,7 @@ def neardup_sql() -> dict[str, str]:
     order that carries the leader list (the sequential rule itself)."""
     rows = f"""r AS (SELECT review_id, votes, {norm('text')} AS nt, list_distinct({toks('text')}) AS ts
       FROM reviews WHERE {longer('text', 3)})"""
-    jaccard = """len(a.ts) > 0 AND len(b.ts) > 0
-    AND 5 * len(a.ts) >= 4 * len(b.ts) AND 5 * len(b.ts) >= 4 * len(a.ts)
-    AND 5 * len(list_intersect(a.ts, b.ts)) >= 4 * len(list_distinct(list_concat(a.ts, b.ts)))"""
-    base = _leader_walk(rows, jaccard)
+    base = _leader_walk(rows, JACCARD)
     # the same walk, of texts against earlier leaders' summaries
     rows = f"""srcd AS (SELECT review_id, text FROM reviews WHERE {longer('text', 3)}),
 {summary_cte('srcd', 'sx', 5, 1)},

@@ -65,7 +65,8 @@ def command_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Command texts at volume: events become store commands (even ids) or
     social commands (odd ids) whose argument string is derived from the
     event's type and ``props.$.k``, so every parser branch (help, empty,
-    hex, trailing junk, unknown mode, out-of-range counts) occurs."""
+    hex, trailing junk, unknown mode, out-of-range counts) occurs.  ``app_id``
+    is the app of the installation that sent the command."""
     ev = (table(spark, sf_dir, "events")
           .withColumn("_k", F.get_json_object("props", "$.k"))
           .withColumn("_kn", js_parse_int(F.col("_k"))))
@@ -99,6 +100,7 @@ def command_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("twitter_reviews_process")).alias("command"),
         F.when(is_store, store_arg).otherwise(social_arg).alias("parameters"),
         F.col("ts").alias("issued_at"),
+        app.alias("app_id"),
     )
 
 
