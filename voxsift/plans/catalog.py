@@ -331,7 +331,7 @@ def model_map_udf(spark, d):
 def _registry() -> dict[str, Query]:
     from voxsift.operators import bayes, ml, neardup, rank, summary_dedup
     from voxsift.plans import command_triage
-    from voxsift.streaming import leader_state, triage_stream
+    from voxsift.streaming import command_stream, leader_state, triage_stream
     return {
         "topn_helpful": topn_helpful,
         "noise_filter": noise_filter_q,
@@ -378,6 +378,7 @@ def _registry() -> dict[str, Query]:
         "stream_events_once": triage_stream.stream_events_once_query,
         "stream_command_leaders": leader_state.stream_command_leaders_query,
         "webhook_once": triage_stream.webhook_once_query,
+        "stream_commands": command_stream.stream_commands_query,
     }
 
 

@@ -703,6 +703,28 @@ def oracle_sql() -> dict[str, str]:
         title, tag_ids, body, owned_by, applies_to_part, severity, category, total_reviews, total_votes FROM tix"""
     q["command_issues"] = f"""WITH RECURSIVE {command_triage_cte()} SELECT command_id, review_id, issue_id,
         ticket_id, title, body, priority, category FROM iss"""
+    q["stream_commands"] = f"""WITH RECURSIVE {command_triage_cte()},
+      ev AS (SELECT p.*, a.app, command_id % 97 = 0 AS cut, command_id % 89 = 0 AS unnamed
+             FROM parsed p JOIN cmd_a a USING (command_id)),
+      ran AS (SELECT * FROM ev WHERE NOT cut AND NOT unnamed AND parameters IS NOT NULL AND app IS NOT NULL),
+      t AS (SELECT command_id, count(*) AS tickets, sum(total_reviews) AS reviews FROM tix GROUP BY 1),
+      i AS (SELECT command_id, count(*) AS issues FROM iss GROUP BY 1),
+      outs AS (SELECT CAST(command_id AS VARCHAR) AS key, coalesce(t.tickets, 0) AS tickets,
+          coalesce(t.reviews, 0) AS reviews, coalesce(i.issues, 0) AS issues,
+          CASE r.status WHEN 'help' THEN 1 WHEN 'reject_unknown_mode' THEN 1 WHEN 'warn_over_100' THEN 3 ELSE 2 END
+            + 2 * coalesce(t.tickets, 0) + 2 * coalesce(i.issues, 0) AS messages,
+          CASE WHEN r.status LIKE 'reject%' THEN 'command: ' || r.status
+               WHEN r.fetch_n > 0 AND coalesce(c.config_error, CASE WHEN c.app_id IS NULL THEN 'app_id' END) IS NOT NULL
+               THEN 'config: missing required input' END AS reject
+        FROM ran r LEFT JOIN t USING (command_id) LEFT JOIN i USING (command_id)
+        LEFT JOIN resolved c ON c.app_id = r.app
+      UNION ALL SELECT CASE WHEN cut THEN sha256('{{"payload":{{"command_id":"' || command_id || '","parameters":')
+          ELSE CAST(command_id AS VARCHAR) END, 0, 0, 0, 0,
+          CASE WHEN cut THEN 'event: corrupt record' WHEN parameters IS NULL THEN 'event: missing parameters'
+               ELSE 'event: missing installation_id' END
+        FROM ev WHERE cut OR unnamed OR parameters IS NULL OR app IS NULL)
+      SELECT key, CAST(tickets AS BIGINT) AS tickets, CAST(reviews AS BIGINT) AS reviews,
+        CAST(issues AS BIGINT) AS issues, CAST(messages AS BIGINT) AS messages, reject FROM outs"""
     q.update(neardup_sql())
     return q
 
