@@ -72,3 +72,25 @@ def test_nothing_to_learn(spark):
     assert langid.identify(empty, None).collect() == []
     one = spark.createDataFrame([(1, "abc")], "doc_id bigint, text string")
     assert tuple(langid.identify(one, None).first()) == (1, "und", 0.0, True)
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = random.Random(5)
+    rows = [(text(rng, rng.choice(["aa", "bb"]), 12), None) for _ in range(600)]
+    rows = [(t, "aa" if any(x in t for x in ("ka", "to", "mi", "ra", "su", "no")) else "bb") for t, _ in rows]
+    rows += [("copy " + text(random.Random(9), "bb", 9), "bb")] * 300
+    rare = [(text(rng, "cc", 40), "cc") for _ in range(8)]
+    df = spark.createDataFrame(rows + rare, "text string, lang string")
+    got = langid.sample(df, 60, 10).collect()
+    assert len(got) == len(set(got)) <= 120
+    assert {r.text for r in got if r.lang == "cc"} == {t for t, _ in rare}
+    # one row of every language comes before the second of any
+    assert {r.lang for r in langid.sample(df, 3, 10).collect()} >= {"aa", "bb", "cc"}
+
+
+def test_documents_take_turns():
+    import numpy as np
+    of = np.array([7] * 1000 + [3, 3, 1, 5, 5, 5])
+    got = langid.fair_share(of, 10, np.random.default_rng(1))
+    counts = {d: int((of[got] == d).sum()) for d in (1, 3, 5, 7)}
+    assert len(got) == 10 and counts[1] == 1 and counts[3] == 2 and counts[5] == 3 and counts[7] == 4

@@ -2,8 +2,12 @@
 
 Letters are lower-cased, everything else is a blank; a text is the bag of its
 character n-grams (see ``subword``).  The model is trained on pieces of a
-bounded sample of labelled documents (``max_fit_docs``, by a hash), so that
-short texts are known to it; it is applied to whole texts.  A temperature
+bounded sample of labelled documents (by a hash), so that short texts are known
+to it; it is applied to whole texts.  The sample has ``max_fit_docs`` documents
+of the whole table and the first ``per_language`` of each language, at most
+``max_fit_docs`` more, so that a rare language is learned too.  Of at most
+``max_pieces`` pieces every document gives its first, then its second and so
+on, so that few very long documents do not take them all.  A temperature
 fitted on held-back documents calibrates the scores, and the lowest score at
 which those documents are right at ``target_precision`` is the rejection
 threshold: texts below it keep their best language and are marked rejected.
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, col, slices
@@ -28,6 +32,7 @@ from .subword import averages, code_points, ngrams, train
 
 SIZES, BITS, DIM = (3, 4), 16, 8
 MAX_FIT_DOCS = 3_000
+PER_LANGUAGE = 50
 PIECE_WORDS = 30
 MAX_PIECES = 24_000
 TARGET_PRECISION = 0.99
@@ -73,7 +78,19 @@ def predict_texts(texts, model):
 
 # -- learning -------------------------------------------------------------
 
-def fit(rows, target_precision=TARGET_PRECISION, seed=11) -> dict | None:
+def fair_share(of_doc, most: int, rng):
+    """Places of at most ``most`` pieces, documents taking turns at random."""
+    import numpy as np
+
+    chance = rng.permutation(len(of_doc))
+    order = np.lexsort((chance, of_doc))
+    first = np.searchsorted(of_doc[order], of_doc[order])
+    turn = np.empty(len(order), np.int64)
+    turn[order] = np.arange(len(order)) - first
+    return np.sort(np.lexsort((chance, turn))[:most])
+
+
+def fit(rows, target_precision=TARGET_PRECISION, seed=11, max_pieces: int = MAX_PIECES) -> dict | None:
     """A model of (text, label) rows, or None without usable rows."""
     import numpy as np
 
@@ -82,7 +99,7 @@ def fit(rows, target_precision=TARGET_PRECISION, seed=11) -> dict | None:
     number = {label: i for i, label in enumerate(labels)}
     order = rng.permutation(len(rows))
     held = [rows[i] for i in order[:len(rows) // 5]]
-    pieces, of = [], []
+    pieces, of, of_doc = [], [], []
     for i in order[len(rows) // 5:]:
         text, label = rows[i]
         codes, _, n = letters_of([text])
@@ -92,10 +109,11 @@ def fit(rows, target_precision=TARGET_PRECISION, seed=11) -> dict | None:
         for start in range(0, len(words), PIECE_WORDS):
             pieces.append(" ".join(words[start:start + PIECE_WORDS]))
             of.append(number[label])
+            of_doc.append(i)
     if not pieces:
         return None
-    if len(pieces) > MAX_PIECES:
-        chosen = np.sort(rng.permutation(len(pieces))[:MAX_PIECES])
+    if len(pieces) > max_pieces:
+        chosen = fair_share(np.array(of_doc), max_pieces, rng)
         pieces, of = [pieces[i] for i in chosen], [of[i] for i in chosen]
     targets = np.eye(len(labels))[of]
     scores, bias = train(pieces, targets, np.ones(len(pieces)), SIZES, BITS, DIM, 3, 0.5, 64)
@@ -132,15 +150,29 @@ def whole_scores(texts, model):
     return p / p.sum(1, keepdims=True)
 
 
+def sample(src: DataFrame, max_fit_docs: int, per_language: int) -> DataFrame:
+    """Distinct (text, lang) rows of the smallest hashes: ``max_fit_docs`` of
+    all, and the first ``per_language`` of each language, of which the bound
+    ``max_fit_docs`` cuts the later rows of every language first.  Only hashes
+    are shuffled; the group limit is partial, so no task gathers a language."""
+    by = F.xxhash64("text", "lang")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    first = (src.select("lang", by.alias("hash")).distinct().withColumn("place", place)
+             .where(F.col("place") <= per_language).orderBy("place", "hash").limit(max_fit_docs).select("hash"))
+    rows = src.withColumn("hash", by).join(F.broadcast(first), "hash", "left_semi").drop("hash")
+    return bounded_sample(src, max_fit_docs, F.col("text"), F.col("lang")).union(rows).distinct()
+
+
 def learn(docs: DataFrame, train_rows: Column | None = None, text_col: str = "text",
-          lang_col: str = "lang", max_fit_docs: int = MAX_FIT_DOCS) -> dict | None:
-    """Fit on at most ``max_fit_docs`` rows of those that ``train_rows`` holds
-    for, taken by a hash; equal rows train once."""
+          lang_col: str = "lang", max_fit_docs: int = MAX_FIT_DOCS, per_language: int = PER_LANGUAGE,
+          max_pieces: int = MAX_PIECES) -> dict | None:
+    """Fit on a bounded ``sample`` of those rows that ``train_rows`` holds
+    for; equal rows train once."""
     src = docs if train_rows is None else docs.where(train_rows)
     src = src.select(col(text_col).cast("string").alias("text"), col(lang_col).cast("string").alias("lang"))
     src = src.where("text IS NOT NULL AND lang IS NOT NULL")
-    rows = bounded_sample(src, max_fit_docs, F.col("text"), F.col("lang"))
-    return fit(sorted((r.text, r.lang) for r in rows.toLocalIterator()))
+    rows = sample(src, max_fit_docs, per_language)
+    return fit(sorted((r.text, r.lang) for r in rows.toLocalIterator()), max_pieces=max_pieces)
 
 
 # -- Spark plan -----------------------------------------------------------
