@@ -307,6 +307,11 @@ def issues_q(spark, d):
                       "priority", "category")
 
 
+def issues_typical(spark, d):
+    return triage(spark, d, typical_issues=True).issues.select(
+        "command_id", "review_id", "issue_id", "title", "body", "priority", "category")
+
+
 def _prompts(spark, d):
     r = _reviews(spark, d).select("review_id", "app_id", "text")
     return prompts(attach_config(r, tables.app_config(spark, d)), RELEVANCE_TEMPLATE)
@@ -358,6 +363,7 @@ def _registry() -> dict[str, Query]:
         "category_ml": ml.category_ml_query,
         "severity_tickets": severity_tickets,
         "issues": issues_q,
+        "issues_typical": issues_typical,
         "messages_active": messages_active,
         "messages_latest": messages_latest,
         "rejects": rejects,

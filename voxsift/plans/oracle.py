@@ -13,6 +13,7 @@ from voxsift.functions.jsstr import JS_WHITESPACE_CLASS as WS
 from voxsift.functions.text import SENTENCE_PATTERN, TAG_PATTERN, TOKEN_PATTERN
 from voxsift.operators.classify import (CATEGORY_RULES, RELEVANCE_RULES,
                                         RELEVANCE_THRESHOLD)
+from voxsift.operators.issue_profile import PRIOR, RELEVANCE as RELEVANCE_SHARE
 from voxsift.operators.model import LOCAL_MODEL_MIN_TOKENS, RELEVANCE_TEMPLATE
 from voxsift.operators.tickets import SOCIAL_HELP, STORE_HELP
 from voxsift.sources.tables import (DEFAULT_OWNER_ID, DEFAULT_PART_ID, ROUTES,
@@ -337,6 +338,62 @@ iss AS (SELECT t.command_id, t.review_id,
   FROM tix t LEFT JOIN isum i USING (review_id) WHERE t.severity <> 'blocker')"""
 
 
+def typical_cte() -> str:
+    """``tiss``: the issues of ``triage_cte`` with texts typical of their category."""
+    prior = float(PRIOR)
+
+    def odds(count: str, size: str) -> str:
+        return (f"CAST(floor(1000000 * ln(({count} + mass) / ({size} + {prior} + 1 - {count} - mass)))"
+                f" AS BIGINT)")
+
+    share = "(1000 * len(list_intersect(c.toks, p.toks))) // len(list_distinct(list_concat(c.toks, p.toks)))"
+    return f"""p_in AS (SELECT category, tok, count(*) AS n_in FROM
+    (SELECT category, unnest(list_distinct({toks('text')})) AS tok FROM ok) GROUP BY 1, 2),
+p_all AS (SELECT tok, CAST(sum(n_in) AS BIGINT) AS n_all FROM p_in GROUP BY 1),
+p_class AS (SELECT category, CAST(sum(n_in) AS BIGINT) AS n_class FROM p_in GROUP BY 1),
+p_sum AS (SELECT CAST(sum(n_in) AS BIGINT) AS n_sum FROM p_in),
+p_mass AS (SELECT *, {prior} * CAST(n_all AS DOUBLE) / CAST(n_sum AS DOUBLE) AS mass
+  FROM p_in JOIN p_all USING (tok) JOIN p_class USING (category) CROSS JOIN p_sum),
+p_odds AS (SELECT category, tok, {odds('n_in', 'n_class')}
+    - {odds('(n_all - n_in)', '(n_sum - n_class)')} AS weight FROM p_mass),
+pneed AS (SELECT t.review_id, t.category, o.text FROM tix t JOIN ok o USING (review_id)
+  WHERE t.severity <> 'blocker' AND t.source = 'store'),
+p_tl AS (SELECT review_id, category, {toks('text')} AS tl FROM pneed),
+p_tp AS (SELECT review_id, category, unnest(tl) AS tok, generate_subscripts(tl, 1) AS pos FROM p_tl),
+p_w AS (SELECT f.review_id, f.tok, f.first_pos, CAST(f.tf * o.weight AS BIGINT) AS weight FROM
+    (SELECT review_id, category, tok, count(*) AS tf, min(pos) AS first_pos FROM p_tp GROUP BY 1, 2, 3) f
+  JOIN p_odds o ON f.category = o.category AND f.tok = o.tok WHERE o.weight > 0),
+p_title AS (SELECT review_id, string_agg(tok, ' ' ORDER BY first_pos) AS title FROM (
+    SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY weight DESC, first_pos) AS rn
+    FROM p_w) WHERE rn <= 3 GROUP BY 1),
+p_sl AS (SELECT review_id, {sents('text')} AS sl FROM pneed),
+p_s AS (SELECT review_id, unnest(sl) AS sentence, generate_subscripts(sl, 1) AS s_pos FROM p_sl),
+p_st AS (SELECT DISTINCT review_id, s_pos, tok FROM
+    (SELECT review_id, s_pos, unnest({toks('sentence')}) AS tok FROM p_s)),
+p_cand AS (SELECT st.review_id, st.s_pos, CAST(sum(w.weight) AS BIGINT) AS score, list(st.tok) AS toks
+  FROM p_st st JOIN p_w w ON st.review_id = w.review_id AND st.tok = w.tok GROUP BY 1, 2),
+p_rel AS (SELECT *, 1000 * score // max(score) OVER (PARTITION BY review_id) AS rel FROM p_cand),
+p_one AS (SELECT * FROM p_rel
+  QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY rel DESC, s_pos) = 1),
+p_two AS (SELECT c.review_id, c.s_pos FROM p_rel c JOIN p_one p
+  ON c.review_id = p.review_id AND c.s_pos <> p.s_pos
+  QUALIFY row_number() OVER (PARTITION BY c.review_id ORDER BY
+    {RELEVANCE_SHARE} * c.rel - {1000 - RELEVANCE_SHARE} * ({share}) DESC, c.s_pos) = 1),
+p_pick AS (SELECT s.review_id, s.s_pos, s.sentence,
+    row_number() OVER (PARTITION BY s.review_id ORDER BY
+      CASE WHEN o.s_pos IS NOT NULL THEN 1 WHEN t.s_pos IS NOT NULL THEN 2 ELSE 3 END, s.s_pos) AS rn
+  FROM p_s s LEFT JOIN p_one o USING (review_id, s_pos) LEFT JOIN p_two t USING (review_id, s_pos)),
+p_text AS (SELECT n.review_id, coalesce(t.title, '') AS title, coalesce(b.summary, '') AS summary
+  FROM pneed n LEFT JOIN p_title t USING (review_id) LEFT JOIN (
+    SELECT review_id, string_agg(sentence, ' ' ORDER BY s_pos) AS summary FROM p_pick WHERE rn <= 2
+    GROUP BY 1) b USING (review_id)),
+tiss AS (SELECT i.command_id, i.review_id, i.issue_id,
+    CASE WHEN p.review_id IS NOT NULL THEN p.title || 'Ticket ID:' || t.ticket_id ELSE i.title END AS title,
+    CASE WHEN p.review_id IS NOT NULL THEN p.summary || chr(10) || t.url ELSE i.body END AS body,
+    i.priority, i.category
+  FROM iss i JOIN tix t USING (review_id) LEFT JOIN p_text p USING (review_id))"""
+
+
 def command_triage_cte() -> str:
     """``tix`` and ``iss`` of all commands: each list walked by the sequential
     rule, each command's counts taken from its own rows."""
@@ -569,6 +626,8 @@ def oracle_sql() -> dict[str, str]:
         needs_issue FROM trows2""")
     q["issues"] = _q(triage_cte(), body="""SELECT command_id, review_id, issue_id, ticket_id,
         title, body, priority, category FROM iss""")
+    q["issues_typical"] = _q(triage_cte(), typical_cte(), body="""SELECT command_id, review_id,
+        issue_id, title, body, priority, category FROM tiss""")
     active_at = "TIMESTAMP '2024-01-02 12:00:00'"
     q["messages_active"] = _q(ticket_rows_cte(), f"""msgs AS (
         SELECT command_id, review_id, 1 AS seq,
