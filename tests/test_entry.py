@@ -13,7 +13,7 @@ FAST = ["topn_helpful", "noise_filter", "command_parse", "route_events", "config
         "dedup_replay", "summary_extract", "model_map_replay", "dedup_leaders",
         "issues", "triage_end_to_end", "dedup_pairs", "page_log", "page_log_hashtag", "relevance_bayes",
         "page_connector", "page_connector_stream", "stream_command_leaders", "webhook_once", "dedup_summary",
-        "engagement_rank", "command_tickets", "command_issues"]
+        "engagement_rank", "command_tickets", "command_issues", "issues_typical", "reply_rejects"]
 
 
 def test_entry_runs(spark):

@@ -27,6 +27,7 @@ from voxsift.operators.fetch import (PAGE_SIZE, build_pages, explode_pages, norm
                                      search_posts, social_posts, top_n, with_order_key)
 from voxsift.operators.model import (RELEVANCE_TEMPLATE, model_map, prompts,
                                      replay_replies, token_count_model)
+from voxsift.operators import reply_gate
 from voxsift.operators.summarize import summarize
 from voxsift.operators.tickets import (active_messages, attach_config, attach_tags,
                                        command_messages, latest_messages, priority,
@@ -209,6 +210,17 @@ def reply_parse(spark, d):
                     match_index(dv).alias("match_with"))
 
 
+def reply_rejects(spark, d):
+    """Both steps' replies, split and stored in one pass; the rejects of the stored table."""
+    gated = reply_gate.gate(replies_from_labels(spark, d), ["doc_id"], {
+        "relevance": ("relevance_reply", reply_gate.RELEVANCE),
+        "duplicate": ("duplicate_reply", reply_gate.DUPLICATE)})
+    path = scratch_path(spark, f"replies/{uuid.uuid4().hex}")
+    reply_gate.write_split(gated, path)
+    stored = spark.read.schema(f"{gated.schema.toDDL()}, accepted boolean").parquet(path)
+    return reply_gate.rejects(stored.where(~F.col("accepted")), ["doc_id"])
+
+
 def relevance_rules(spark, d):
     return relevance_by_rules(_reviews(spark, d)).select(
         "review_id", "relevance_score", "relevant")
@@ -355,6 +367,7 @@ def _registry() -> dict[str, Query]:
         "engagement_rank": rank.engagement_rank_query,
         "work_list_first": work_list_first,
         "reply_parse": reply_parse,
+        "reply_rejects": reply_rejects,
         "relevance_rules": relevance_rules,
         "relevance_ml": ml.relevance_ml_query,
         "relevance_bayes": bayes.relevance_bayes_query,

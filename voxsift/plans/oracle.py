@@ -567,7 +567,7 @@ def oracle_sql() -> dict[str, str]:
     q["work_list_first"] = _q(triage_cte(), body="""SELECT ticket_id, review_id, title
         FROM tix ORDER BY ticket_id LIMIT 1""")
     rr, dr = strip_fences("relevance_reply"), strip_fences("duplicate_reply")
-    q["reply_parse"] = _q(f"""lab AS (SELECT doc_id, quality, toxic,
+    replies = f"""lab AS (SELECT doc_id, quality, toxic,
         CASE WHEN quality = 1 THEN 'true' ELSE 'false' END AS q FROM labels),
       rep AS (SELECT doc_id,
         CASE doc_id % 6 WHEN 0 THEN '{{"relevance":"' || q || '","reason":"label"}}'
@@ -580,10 +580,29 @@ def oracle_sql() -> dict[str, str]:
           WHEN 2 THEN '{{"is_duplicate":"true","match_with":-1}}'
           WHEN 3 THEN '{{"is_duplicate":true,"match_with":0}}'
           ELSE '{{"is_duplicate":"false","match_with":-1}}' END AS duplicate_reply FROM lab),
-      pr AS (SELECT doc_id, {rr} AS rr, {dr} AS dr FROM rep)""",
+      pr AS (SELECT doc_id, {rr} AS rr, {dr} AS dr FROM rep)"""
+    q["reply_parse"] = _q(replies,
                           body=f"""SELECT doc_id, {jtype('rr', 'relevance')} AS relevance_type,
         {keep('rr')} AS keep, {strict_true('dr', 'is_duplicate')} AS is_dup,
         {parse_int(jtext('dr', 'match_with'))} AS match_with FROM pr""")
+    bad_index = f"({strict_true('dr', 'is_duplicate')} AND coalesce({parse_int(jtext('dr', 'match_with'))}, -1) < 0)"
+
+    def fault(x: str, *needs: tuple[str, list[str]]) -> str:
+        out = f"CASE WHEN NOT json_valid({x}) THEN 'not JSON' WHEN json_type({x}) <> 'OBJECT' THEN 'not an object'"
+        for name, types in needs:
+            kind = jtype(x, name)
+            out += (f" WHEN {kind} IS NULL THEN '{name} missing'"
+                    f" WHEN {kind} NOT IN ({', '.join(map(lit, types))}) THEN '{name} is ' || {kind}")
+        return out
+
+    q["reply_rejects"] = _q(replies, f"""checked AS (
+        SELECT doc_id, 'relevance' AS step, relevance_reply AS reply,
+          {fault('rr', ('relevance', ['string']))} END AS error FROM rep JOIN pr USING (doc_id)
+        UNION ALL SELECT doc_id, 'duplicate', duplicate_reply,
+          {fault('dr', ('is_duplicate', ['string']), ('match_with', ['number', 'string']))}
+          WHEN {bad_index} THEN 'match_with is no index' END FROM rep JOIN pr USING (doc_id))""",
+                            body="""SELECT step, CAST(doc_id AS VARCHAR) AS key, error AS message,
+        CAST(to_json({'reply': reply}) AS VARCHAR) AS detail FROM checked WHERE error IS NOT NULL""")
     q["relevance_rules"] = _q(REVIEWS, RELEVANCE, body="""SELECT review_id, relevance_score,
         relevant FROM rel""")
     q["relevance_bayes"] = f"""WITH lab AS (
