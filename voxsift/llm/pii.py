@@ -2,10 +2,13 @@
 
 The rules find e-mail, IP, card and phone spans (leftmost, not overlapping,
 for each kind); they always stay.  A conditional random field over the
-document's entity-like tokens (tokens with a digit or an at sign; other tokens
-can only be outside) adds spans.  Its potentials: token features, transitions
+document's entity-like tokens adds spans.  These are the tokens with a digit or
+an at sign, and the names: tokens equal to the local part of one of the
+document's e-mail spans, if it has at least five characters and an inner mark
+(``anna.smith``; a plain word such as ``support`` says nothing on its own).
+Other tokens can only be outside.  Its potentials: token features, transitions
 between neighbouring tokens, and skip edges between a token and its next
-distant occurrence, be it the same text, the same digits or the same local
+occurrence at any distance, be it the same text, the same digits or the same local
 part, which tie their labels.  Tokens of rule spans are clamped to their
 kind; loopy sum-product messages then carry it along chains and skip edges,
 so that a repeated mention gets the label that the document already gave it.
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +52,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 TRIGGER = re.compile(r"[0-9@]")
+NAME = re.compile(r"[^._%+-][._%+-]+[^._%+-]")
 EDGE_MARKS = "\"'()[]{}<>,;:!?*#$%&|=./\\-_~`^"
 
 
@@ -134,8 +139,15 @@ def token_features(core: str, raw: str) -> list[str]:
     return out
 
 
-def link_keys(core: str) -> list[str]:
-    """Keys under which distant tokens count as the same mention."""
+def name_of(email: str) -> str | None:
+    """The local part by which an e-mail span's owner may be mentioned."""
+    local = email.split("@")[0].strip(EDGE_MARKS + "+").lower()
+    return local if len(local) >= 5 and (TRIGGER.search(local) or NAME.search(local)) else None
+
+
+def link_keys(core: str, names=()) -> list[str]:
+    """Keys under which distant tokens count as the same mention; names:
+    those of the e-mail spans in the token."""
     low = core.lower()
     keys = ["t:" + low] if len(low) >= 5 else []
     digits = only_digits(core)
@@ -145,7 +157,7 @@ def link_keys(core: str) -> list[str]:
         local = low.split("@")[0]
         if len(local) >= 5 and TRIGGER.search(local):
             keys.append("t:" + local)
-    return keys
+    return list(dict.fromkeys(keys + ["t:" + name for name in names]))
 
 
 class Graph:
@@ -158,15 +170,24 @@ class Graph:
     def add(self, doc: int, text: str, rules) -> None:
         """The document's tokens; rules: its rule spans."""
         ordered = sorted((a, b, k) for k, a, b in rules)
+        named = {(a, b): name_of(text[a:b]) for k, a, b in rules if k == 1}
+        names = set(named.values()) - {None}
         last_seen: dict[str, int] = {}
         previous, rule_at = None, 0
         for number, m in enumerate(TOKEN.finditer(text)):
-            if not TRIGGER.search(m[0]):
+            if not TRIGGER.search(m[0]) and not (names and m[0].strip(EDGE_MARKS + "+").lower() in names):
                 continue
             start, end = m.span()
             while rule_at < len(ordered) and ordered[rule_at][1] <= start:
                 rule_at += 1
-            inside = [k for a, b, k in ordered[rule_at:rule_at + 8] if a < end and b > start]
+            inside, mine = [], []
+            for a, b, k in islice(ordered, rule_at, None):
+                if a >= end:
+                    break
+                if b > start:
+                    inside.append(k)
+                    if k == 1 and named[a, b]:
+                        mine.append(named[a, b])
             core = m[0].strip(EDGE_MARKS + "+") or m[0]
             offset = m[0].find(core)
             node = len(self.spans)
@@ -178,9 +199,9 @@ class Graph:
             if previous is not None and previous[1] == number - 1:
                 self.chain.append((previous[0], node))
             linked = set()
-            for key in link_keys(core):
+            for key in link_keys(core, mine):
                 other = last_seen.get(key)
-                if other is not None and other not in linked and (other, node) != (self.chain or [None])[-1]:
+                if other is not None and other not in linked:
                     self.skip.append((other, node))
                     linked.add(other)
                 last_seen[key] = node
