@@ -72,12 +72,14 @@ def documents():
     return rows
 
 
-@pytest.mark.parametrize("block_bytes,shard_bytes", [(1 << 24, 1 << 22), (100, 300)])
-def test_against_brute_force(spark, block_bytes, shard_bytes):
+@pytest.mark.parametrize("block_bytes,broadcast_bytes,shard_bytes", [
+    (1 << 24, 1 << 27, 1 << 22), (100, 1 << 20, 300), (100, 200, 300)])  # one block, one pass, several passes
+def test_against_brute_force(spark, block_bytes, broadcast_bytes, shard_bytes):
     rows = documents()
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, items string, id int")
     bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
-    got = fmindex.contamination(docs, bench, block_bytes=block_bytes, shard_bytes=shard_bytes).collect()
+    got = fmindex.contamination(docs, bench, block_bytes=block_bytes, broadcast_bytes=broadcast_bytes,
+                                shard_bytes=shard_bytes).collect()
     want = [(r[0], *brute(r[1], ITEMS)) for r in rows]
     assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got), key=str) == sorted(want, key=str)
     texts = {r[0]: r[1] for r in rows}
@@ -89,6 +91,28 @@ def test_against_brute_force(spark, block_bytes, shard_bytes):
         assert [s.start for s in r.spans] == sorted(s.start for s in r.spans)
 
 
+def test_passes_hold_no_more_than_their_bound(spark):
+    """A test set whose rows share one id spreads over blocks and passes; repeats go once."""
+    rows = [(1, f"word{i} " * 20) for i in range(50)] * 3
+    bench = spark.createDataFrame(rows, "item_id bigint, text string")
+    passes = list(fmindex.query_passes(bench, "item_id", "text", 10, 1000, 3000))
+    size = sum(len(t) for _, t in set(rows))
+    assert [last for _, last in passes] == [False] * (len(passes) - 1) + [True]
+    assert len(passes) == -(-(-(-size // 1000)) // 3) and all(len(blocks) <= 3 for blocks, _ in passes)
+    assert sum(len(b.value[1]) for blocks, _ in passes for b in blocks) == 50
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 100])
+def test_passes_cut_the_same_spans(spark, broadcast_bytes):
+    rows = documents()
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, _found string, id int")
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    whole = fmindex.decontaminate(docs, bench)
+    got = fmindex.decontaminate(docs, bench, block_bytes=100, broadcast_bytes=broadcast_bytes, shard_bytes=300)
+    assert got.schema == docs.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_decontaminate_cuts_the_spans_and_keeps_columns(spark):
     text = "Before this, THE quick brown fox jumps over the lazy dog and then it sleeps, after ünd."
     docs = spark.createDataFrame([(1, text, "a"), (2, "clean text", "b"), (3, None, "c")],

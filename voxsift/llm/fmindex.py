@@ -12,9 +12,13 @@ to a sampled position, and the words they cover are merged into removal spans.
 
 A phrase is a window of ``window`` consecutive words of an item, or the whole
 item if it has fewer words.  The test set reaches the tasks in blocks whose
-text is at most ``block_bytes``; a larger test set makes more blocks, each
-searched in every shard, one in memory at a time.  Documents are not shuffled
-and no task holds more than one shard's index.
+text is at most about ``block_bytes``, each searched in every shard, one in
+memory at a time.  Rows are dealt to blocks by item and text, repeats once, so
+an item of very many rows spreads too.  At most ``broadcast_bytes`` of text are
+broadcast at once: a larger test set takes more passes, each with broadcasts of its
+own; what a pass found rides with the rows, checkpointed in the shared folder,
+to the next.  Documents are not shuffled and no task holds more than one
+shard's index.
 
 Defined results: null and wordless texts have no words and no hits, null and
 wordless items have no phrases, items without an id are not searched; several
@@ -29,12 +33,14 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from .common import col, slices
+from .common import col, cut, fresh, slices
 
 WINDOW_WORDS = 10
 SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 16 << 20
+BROADCAST_BYTES = 128 << 20
 SAMPLE = 8
 
 
@@ -313,21 +319,25 @@ def clean_text(text, hits):
 
 # -- Spark plans ----------------------------------------------------------
 
-def query_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int,
-                 block_bytes: int):
-    """Broadcast phrase tables of the test set, each of at most about
-    ``block_bytes`` of text (one item may exceed it alone)."""
+def query_passes(benchmark: DataFrame, id_col: str, text_col: str, window: int,
+                 block_bytes: int, broadcast_bytes: int) -> Iterator[tuple[list, bool]]:
+    """(broadcast phrase tables, whether it is the last) of each pass; a table
+    is of about ``block_bytes`` of text (one row may exceed it alone), a pass of
+    ``broadcast_bytes``.  The driver holds one block's rows at a time."""
     spark = benchmark.sparkSession
-    items = benchmark.select(col(id_col).cast("string").alias("item"),
-                             col(text_col).cast("string").alias("text"))
+    items = benchmark.select(col(id_col).cast("string").alias("item"), col(text_col).cast("string").alias("text"))
+    items = items.where("item IS NOT NULL AND text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("item"), F.lit(n))
-    out = []
-    for k in range(n):
-        rows = items.where(block == k).collect() if n > 1 else items.collect()
-        out.append(spark.sparkContext.broadcast(phrases_of(rows, window)))
-    return out
+    each = max(1, broadcast_bytes // block_bytes)
+    if n > 1:
+        items = cut(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))))
+    for first in range(0, n, each):
+        blocks = []
+        for k in range(first, min(n, first + each)):
+            rows = (items.where(F.col("block") == k) if n > 1 else items).select("item", "text").collect()
+            blocks.append(spark.sparkContext.broadcast(phrases_of(rows, window)))
+        yield blocks, first + each >= n
 
 
 def loaders(broadcasts):
@@ -342,15 +352,62 @@ def loaders(broadcasts):
     return [loader(b) for b in broadcasts]
 
 
+def search_part(part, text_at: int, blocks, carried_at: int | None):
+    """``search_texts`` of an Arrow batch, with what earlier passes found."""
+    import numpy as np
+
+    texts = part.column(text_at).to_pylist()
+    sizes, hits, items = search_texts(texts, loaders(blocks))
+    if carried_at is not None:
+        for i, old in enumerate(part.column(carried_at).to_pylist()):
+            if old["words"]:
+                hits[i] = np.union1d(hits.get(i, np.zeros(0, np.int64)), np.array(old["words"], np.int64))
+                items[i] = sorted({*items.get(i, ()), *old["items"]})
+    return texts, sizes, hits, items
+
+
+def search_but_last(docs: DataFrame, text_at: int, passes: Iterator, shard_bytes: int):
+    """(docs, with a last column of what all passes but the last found if there
+    are several; that column's place or None; blocks of the last pass)."""
+    name, width = fresh(docs, "_found"), len(docs.columns)
+    kind = StructType().add("words", ArrayType(LongType())).add("items", ArrayType(StringType()))
+    frame, carried_at = docs, None
+    for blocks, last in passes:
+        if last:
+            break
+
+        def run(batches: Iterator, blocks=blocks, carried_at=carried_at) -> Iterator:
+            import pyarrow as pa
+
+            found_type = pa.struct([("words", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+            for batch in batches:
+                for start, stop in slices(batch, text_at, shard_bytes):
+                    part = batch.slice(start, stop - start)
+                    _, _, hits, items = search_part(part, text_at, blocks, carried_at)
+                    found = [{"words": hits[i].tolist() if i in hits else [], "items": items.get(i, [])}
+                             for i in range(part.num_rows)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:width], pa.array(found, found_type)],
+                        names=[*part.schema.names[:width], name])
+
+        frame = cut(frame.mapInArrow(run, StructType([*docs.schema.fields]).add(name, kind)))
+        carried_at = width
+        for block in blocks:
+            block.destroy()
+    return frame, carried_at, blocks
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = WINDOW_WORDS,
-                  shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per document: the id, ``n_words``, ``n_hit``, ``items`` (ids
     of the items with occurring phrases, sorted as strings) and ``spans``
     (merged removal spans in code points, end exclusive)."""
-    blocks = query_blocks(benchmark, item_col, item_text_col, window, block_bytes)
     src = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
+    passes = query_passes(benchmark, item_col, item_text_col, window, block_bytes, broadcast_bytes)
+    frame, carried_at, blocks = search_but_last(src, 1, passes, shard_bytes)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -359,8 +416,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         for batch in batches:
             for start, stop in slices(batch, 1, shard_bytes):
                 part = batch.slice(start, stop - start)
-                texts = part.column(1).to_pylist()
-                sizes, hits, items = search_texts(texts, loaders(blocks))
+                texts, sizes, hits, items = search_part(part, 1, blocks, carried_at)
                 spans = []
                 for i, text in enumerate(texts):
                     found = []
@@ -376,7 +432,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     pa.array(spans, span_type)], names=["id", "n_words", "n_hit", "items", "spans"])
 
     kind = src.schema["id"].dataType.simpleString()
-    found = src.mapInArrow(run, f"id {kind}, n_words bigint, n_hit bigint, items array<string>, "
+    found = frame.mapInArrow(run, f"id {kind}, n_words bigint, n_hit bigint, items array<string>, "
                                 "spans array<struct<start:bigint,end:bigint>>")
     return found.withColumnRenamed("id", id_col)
 
@@ -384,10 +440,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text",
                   window: int = WINDOW_WORDS, shard_bytes: int = SHARD_BYTES,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The documents, all columns, with the removal spans cut out of the text."""
-    blocks = query_blocks(benchmark, item_col, item_text_col, window, block_bytes)
-    at = docs.columns.index(text_col)
+    at, width = docs.columns.index(text_col), len(docs.columns)
+    passes = query_passes(benchmark, item_col, item_text_col, window, block_bytes, broadcast_bytes)
+    frame, carried_at, blocks = search_but_last(docs, at, passes, shard_bytes)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -395,8 +452,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         for batch in batches:
             for start, stop in slices(batch, at, shard_bytes):
                 part = batch.slice(start, stop - start)
-                texts = part.column(at).to_pylist()
-                _, hits, _ = search_texts(texts, loaders(blocks))
+                texts, _, hits, _ = search_part(part, at, blocks, carried_at)
+                part = part.select(list(range(width)))
                 if hits:
                     for i, found in hits.items():
                         texts[i] = clean_text(texts[i], found)
@@ -405,4 +462,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                     part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
                 yield part
 
-    return docs.mapInArrow(run, docs.schema)
+    return frame.mapInArrow(run, docs.schema)
