@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxsift.functions.text import TOKEN_PATTERN
+from voxsift.session import stage
 
 NUM_FEATURES = 1 << 16
 
@@ -33,21 +34,18 @@ def text_classifier(label_col: str = "label", num_features: int = NUM_FEATURES,
     ])
 
 
-def _fit(pipeline_or_est, train: DataFrame):
-    """Fit with the training rows persisted for the duration of the fit (the
-    IDF pass and every optimizer pass read them; on executor loss the
-    blocks are recomputed from lineage)."""
-    train.persist()
-    try:
-        return pipeline_or_est.fit(train)
-    finally:
-        train.unpersist()
+def _training(rows: DataFrame) -> DataFrame:
+    """Training rows staged once (the indexer, the IDF pass and the optimizer
+    read them), in no more partitions than there are cores: every optimizer
+    pass shuffles one dense gradient per partition, so what a fit shuffles
+    must not grow with the number of input partitions."""
+    return stage(rows).coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism))
 
 
 def relevance_model(labeled: DataFrame):
     """Fit on ``(text, relevant)``."""
     train = labeled.select("text", F.col("relevant").cast("double").alias("label"))
-    return _fit(text_classifier(), train)
+    return text_classifier().fit(_training(train))
 
 
 def predict_relevance(model, df: DataFrame) -> DataFrame:
@@ -59,12 +57,9 @@ def predict_relevance(model, df: DataFrame) -> DataFrame:
 def category_model(labeled: DataFrame):
     """Fit on ``(text, category)``; labels are indexed by frequency."""
     indexer = StringIndexer(inputCol="category", outputCol="label", stringOrderType="alphabetAsc")
-    labeled = labeled.select("text", "category").persist()
-    try:
-        idx = indexer.fit(labeled)
-        model = text_classifier().fit(idx.transform(labeled))
-    finally:
-        labeled.unpersist()
+    labeled = _training(labeled.select("text", "category"))
+    idx = indexer.fit(labeled)
+    model = text_classifier().fit(idx.transform(labeled))
     return idx, model
 
 
