@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from voxsift.operators.fetch import join_on_hot_keys
+from voxsift.operators.fetch import join_by_rows, join_on_hot_keys
 from voxsift.operators.rank import engagement_rank_query, global_rank
 
 
@@ -51,3 +51,21 @@ def test_hot_key_is_dealt_to_many_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_join_is_dealt_by_its_rows(spark):
+    """One key asks for 300 rows, the others for few: the joined rows, not the
+    commands, decide the tasks."""
+    commands = spark.createDataFrame(
+        [(i if i % 50 else None, f"t{i % 40}" if i % 3 else "much") for i in range(3000)] + [(1, None), (2, "none")],
+        "command_id bigint, request string")
+    ranked = spark.createDataFrame([("much", r) for r in range(300)] + [(f"t{i}", r) for i in range(40) for r in range(3)]
+                                   + [(None, 1), ("unasked", 1)], "request string, review_id bigint")
+    dealt = join_by_rows(commands, ranked, "request", rows=10_000)
+    plain = commands.join(ranked, "request")
+    assert dealt.columns == plain.columns and dealt.count() == plain.count() > 300_000
+    assert dealt.exceptAll(plain).count() == 0
+    assert join_by_rows(commands, ranked, "request").exceptAll(plain).count() == 0
+    assert join_by_rows(commands.limit(0), ranked, "request", rows=1).count() == 0
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 15 and max(sizes) <= 60_000
